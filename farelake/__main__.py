@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--root", required=True)
     batch.add_argument("--row-limit", type=int)
     batch.add_argument("--calendar", choices=["derive", "join"], default="derive")
+    batch.add_argument("--by-month", action="store_true", help="store the fact in a folder per pickup month")
 
     def topic(job: argparse.ArgumentParser) -> None:
         job.add_argument("--servers", required=True)
@@ -57,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--avro-schema", help="file with the record schema; without it the messages land as text")
     land.add_argument("--interval", default="10 minutes")
     land.add_argument("--max-records", type=int, default=1_000_000)
+    land.add_argument("--unordered", action="store_true", help="the messages of a batch span many days")
     return parser
 
 
@@ -64,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"farelake-{args.job}", args.time_zone)
     if args.job == "batch":
-        run = run_batch(spark, args.trips, args.zones, args.root, args.row_limit, args.calendar)
+        run = run_batch(spark, args.trips, args.zones, args.root, args.row_limit, args.calendar, args.by_month)
         run.summary.show(truncate=False)
         return
     if args.job == "replay":
@@ -82,7 +84,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     trips = decode_envelope(messages, Path(args.avro_schema).read_text(), getattr(args, "mode", "FAILFAST"))
     if args.job == "land":
-        land_partitioned(trips, args.path, args.checkpoints, args.interval, args.max_records).awaitTermination()
+        land_partitioned(
+            trips, args.path, args.checkpoints, args.interval, args.max_records, args.unordered
+        ).awaitTermination()
         return
     targets = StreamTargets(args.enriched, args.counts, args.checkpoints)
     run_stream(trips, read_zones(spark, args.zones), targets, args.output_mode, args.interval)

@@ -31,40 +31,36 @@ WHOLE = ["trip_time_seconds", "passenger_count"]
 EXTREMES = ["total_amount"]
 
 
-def _split(name: str) -> tuple[Column, Column]:
-    value = F.col(name)
+def _money_state(name: str) -> list[Column]:
     # What does not fit a long (NaN, infinity) stays in the double part.
-    cents = F.coalesce(F.rint(value * 100).try_cast("bigint"), F.lit(0))
-    return cents, value - cents / 100
+    cents = f"coalesce(try_cast(rint({name} * 100) AS bigint), 0)"
+    return [
+        F.expr(f"sum({cents}) AS {name}__cents"),
+        F.expr(f"sum({name} - {cents} / 100D) AS {name}__rest"),
+        F.expr(f"count({name}) AS {name}__n"),
+    ]
 
 
 def partial_state(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Rows -> one state row per key. Unused parts are pruned by the optimizer."""
-    parts = [F.count("*").alias("n")]
+    parts = [F.expr("count(*) AS n")]
     for name in MONEY:
-        cents, rest = _split(name)
-        parts += [
-            F.sum(cents).alias(f"{name}__cents"),
-            F.sum(rest).alias(f"{name}__rest"),
-            F.count(name).alias(f"{name}__n"),
-        ]
+        parts += _money_state(name)
     for name in WHOLE:
-        parts += [F.sum(F.col(name).cast("bigint")).alias(f"{name}__sum"), F.count(name).alias(f"{name}__n")]
+        parts += [F.expr(f"sum(bigint({name})) AS {name}__sum"), F.expr(f"count({name}) AS {name}__n")]
     for name in EXTREMES:
-        parts += [F.max(name).alias(f"{name}__max"), F.min(name).alias(f"{name}__min")]
+        parts += [F.expr(f"max({name}) AS {name}__max"), F.expr(f"min({name}) AS {name}__min")]
     return rows.groupBy(*keys).agg(*parts)
 
 
 def merge_state(state: DataFrame, keys: Iterable[str]) -> DataFrame:
     """State rows -> state rows at a coarser grain."""
-    parts = [F.sum("n").alias("n")]
+    parts = [F.expr("sum(n) AS n")]
     for name in state.columns:
         if name.endswith(("__cents", "__rest", "__sum", "__n")):
-            parts.append(F.sum(name).alias(name))
-        elif name.endswith("__max"):
-            parts.append(F.max(name).alias(name))
-        elif name.endswith("__min"):
-            parts.append(F.min(name).alias(name))
+            parts.append(F.expr(f"sum({name}) AS {name}"))
+        elif name.endswith(("__max", "__min")):
+            parts.append(F.expr(f"{name[-3:]}({name}) AS {name}"))
     return state.groupBy(*keys).agg(*parts)
 
 

@@ -25,12 +25,19 @@ class BatchRun:
 
 
 def build_star(
-    spark: SparkSession, trips: DataFrame, locations: DataFrame, root: str, calendar: str = "derive"
+    spark: SparkSession,
+    trips: DataFrame,
+    locations: DataFrame,
+    root: str,
+    calendar: str = "derive",
+    by_month: bool = False,
 ) -> None:
     """Cleanse the trips and store the five dimensions and the fact.
 
-    The raw trips are read once: the time dimension comes from the two timestamp columns of the stored
-    fact. With ``calendar="join"`` the time dimension is stored first and the fact joined to it.
+    The raw trips are read once and the fact is written without a shuffle: the time dimension comes
+    from the two timestamp columns of the stored fact. ``by_month`` brings the fact's rows together in
+    a folder per pickup month, at the price of a shuffle. With ``calendar="join"`` the time dimension
+    is stored first and the fact joined to it.
     """
     if calendar not in ("derive", "join"):
         raise ValueError(f"calendar is 'derive' or 'join', not {calendar!r}")
@@ -50,8 +57,10 @@ def build_star(
         write_star_or_mart(star.dim_time(clean), root, "dim_time")
         times = read_star_or_mart(spark, root, "dim_time")
     fact = star.fact_trip(clean, *lookups.values(), times=times)
-    folder = F.date_format("pickup_time_sk", "yyyy-MM")
-    write_star_or_mart(fact.withColumn(FACT_FOLDER, folder), root, "fact_trip", partition_by=[FACT_FOLDER])
+    folders = [FACT_FOLDER] if by_month else []
+    if by_month:
+        fact = fact.withColumn(FACT_FOLDER, F.date_format("pickup_time_sk", "yyyy-MM"))
+    write_star_or_mart(fact, root, "fact_trip", partition_by=folders)
     if calendar == "derive":
         stored = read_star_or_mart(spark, root, "fact_trip")
         write_star_or_mart(star.dim_time(stored, "pickup_time_sk", "dropoff_time_sk"), root, "dim_time")
@@ -71,10 +80,15 @@ def build_marts(spark: SparkSession, root: str, calendar: str = "derive") -> Non
 
 
 def run_batch_on(
-    spark: SparkSession, trips: DataFrame, locations: DataFrame, root: str, calendar: str = "derive"
+    spark: SparkSession,
+    trips: DataFrame,
+    locations: DataFrame,
+    root: str,
+    calendar: str = "derive",
+    by_month: bool = False,
 ) -> BatchRun:
     """Star schema, then marts; every table is replaced, so running twice changes nothing."""
-    build_star(spark, trips, locations, root, calendar)
+    build_star(spark, trips, locations, root, calendar, by_month)
     build_marts(spark, root, calendar)
     return BatchRun(root, run_summary(spark, root, [*STAR_TABLES, *MART_TABLES]))
 
@@ -86,8 +100,8 @@ def run_batch(
     root: str,
     row_limit: int | None = None,
     calendar: str = "derive",
+    by_month: bool = False,
 ) -> BatchRun:
     """The whole batch layer from trip files and the zone CSV."""
-    return run_batch_on(
-        spark, read_trips(spark, trips_path, row_limit), read_zones(spark, zones_path), root, calendar
-    )
+    trips = read_trips(spark, trips_path, row_limit)
+    return run_batch_on(spark, trips, read_zones(spark, zones_path), root, calendar, by_month)

@@ -15,39 +15,30 @@ def _sum(value: str) -> str:
 
 
 TRIPS = """
-cents AS (
-  SELECT *,
-    CAST(round(l_extendedprice * 100) AS BIGINT) % 6000 - 300 AS fare_c,
-    CAST(round(l_tax * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) AS tip_c,
-    CASE WHEN l_linenumber = 3 THEN 694 ELSE 0 END AS tolls_c,
-    CAST(round(l_discount * 100) AS BIGINT) * 25 AS extra_c,
-    (l_orderkey * 7919 + l_partkey * 10007 + l_linenumber * 1013) % 86400 AS start_s,
-    (l_partkey * 31 + l_suppkey * 17 + l_linenumber * 61) % 3600 - 60 AS length_s
-  FROM lineitem
-),
 trips AS (
   SELECT
-    CASE WHEN l_orderkey % 97 <> 0 THEN CAST(l_suppkey % 3 + 1 AS INTEGER) END AS VendorID,
-    CASE WHEN l_orderkey % 101 <> 0 THEN l_shipdate + to_seconds(start_s) END AS tpep_pickup_datetime,
-    CASE WHEN l_partkey % 103 <> 0 THEN l_shipdate + to_seconds(start_s + length_s) END AS tpep_dropoff_datetime,
-    CASE WHEN l_partkey % 89 <> 0 THEN CAST(l_quantity AS BIGINT) % 7 END AS passenger_count,
-    CAST((l_partkey * 13 + l_orderkey * 7) % 2500 AS DOUBLE) / 100 AS trip_distance,
-    CASE WHEN l_orderkey % 11 <> 0 THEN CAST(l_linenumber AS BIGINT) END AS RatecodeID,
-    CASE WHEN l_returnflag = 'A' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
+    CAST(nullif(l_suppkey % 4, 3) AS INTEGER) AS VendorID,
+    CASE WHEN l_orderkey % 101 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399) END AS tpep_pickup_datetime,
+    CASE WHEN l_partkey % 103 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399 + l_partkey % 3607 - 60) END
+      AS tpep_dropoff_datetime,
+    nullif(l_suppkey % 7, 6) AS passenger_count,
+    CAST(l_partkey % 2500 AS DOUBLE) / 100 AS trip_distance,
+    nullif(l_partkey % 8, 0) AS RatecodeID,
+    l_returnflag AS store_and_fwd_flag,
     CAST(l_partkey % 265 + 1 AS INTEGER) AS PULocationID,
-    CAST((l_suppkey * 7 + l_orderkey) % 265 + 1 AS INTEGER) AS DOLocationID,
-    CASE WHEN l_orderkey % 107 <> 0 THEN (l_orderkey + l_linenumber) % 8 END AS payment_type,
-    CAST(fare_c AS DOUBLE) / 100 AS fare_amount,
-    CASE WHEN l_linenumber <> 7 THEN CAST(extra_c AS DOUBLE) / 100 END AS extra,
-    CASE WHEN l_linenumber <> 6 THEN CAST(0.5 AS DOUBLE) END AS mta_tax,
-    CASE WHEN l_suppkey % 19 <> 0 THEN CAST(tip_c AS DOUBLE) / 100 END AS tip_amount,
-    CAST(tolls_c AS DOUBLE) / 100 AS tolls_amount,
-    CASE WHEN l_orderkey % 5 <> 0 THEN CAST(1 AS DOUBLE) END AS improvement_surcharge,
-    CAST(fare_c + tip_c + tolls_c + extra_c + 50 AS DOUBLE) / 100 AS total_amount,
-    CASE WHEN l_suppkey % 7 <> 0 THEN CAST(2.5 AS DOUBLE) END AS congestion_surcharge,
-    CASE WHEN l_partkey % 3 <> 0 THEN CAST(1.75 AS DOUBLE) END AS Airport_fee,
-    CASE WHEN l_partkey % 2 <> 0 THEN CAST(0.75 AS DOUBLE) END AS cbd_congestion_fee
-  FROM cents
+    CAST(l_orderkey % 265 + 1 AS INTEGER) AS DOLocationID,
+    CAST(nullif(l_linenumber, 2) AS BIGINT) AS payment_type,
+    l_quantity - 1 AS fare_amount,
+    nullif(l_discount, 0.05::DOUBLE) AS extra,
+    nullif(l_tax, 0.03::DOUBLE) AS mta_tax,
+    nullif(l_quantity, 7::DOUBLE) AS tip_amount,
+    l_discount AS tolls_amount,
+    nullif(l_tax, 0::DOUBLE) AS improvement_surcharge,
+    CASE WHEN l_orderkey % 59 <> 0 THEN l_extendedprice ELSE 0 END AS total_amount,
+    l_tax AS congestion_surcharge,
+    nullif(l_discount, 0::DOUBLE) AS Airport_fee,
+    l_discount AS cbd_congestion_fee
+  FROM lineitem
 )"""
 
 CLEAN = """

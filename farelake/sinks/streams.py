@@ -47,14 +47,18 @@ def land_partitioned(
     checkpoint: str,
     interval: str | None = "10 minutes",
     max_records: int = 1_000_000,
+    unordered: bool = False,
     pickup: str = "tpep_pickup_datetime",
 ) -> StreamingQuery:
     """Trips -> Parquet under year=/month=/day= of the pickup time in the session's time zone.
 
     A new file starts with every trigger and after ``max_records`` rows. Trips without a pickup time
-    land in the default partition.
+    land in the default partition. With ``unordered`` each batch is split by pickup time first: tasks
+    of equal size that touch few days each, where otherwise every task may write to every day.
     """
     ts = F.col(pickup)
+    if unordered:
+        stream = stream.repartitionByRange(ts, "PULocationID", "DOLocationID", "total_amount")
     days = stream.withColumns(
         {
             "year": F.date_format(ts, "yyyy"),

@@ -6,58 +6,41 @@ start, zones beyond the last one, and five zones that the zone table does not kn
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _cents(value: Column) -> Column:
-    return value.cast("bigint") / 100.0
-
-
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Raw trips, one per line item, in the column order of the trip schema."""
-    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line = F.col("l_linenumber").cast("bigint")
-    qty = F.col("l_quantity").cast("bigint")
-    price = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-    tax = F.rint(F.col("l_tax") * 100).cast("bigint")
-    disc = F.rint(F.col("l_discount") * 100).cast("bigint")
-
-    second = (order * 7919 + part * 10007 + line * 1013) % 86400
-    duration = (part * 31 + supp * 17 + line * 61) % 3600 - 60
-    pickup = F.timestamp_add("SECOND", second, F.col("l_shipdate"))
-    dropoff = F.timestamp_add("SECOND", second + duration, F.col("l_shipdate"))
-
-    fare = price % 6000 - 300
-    tip = tax * qty
-    tolls = F.when(line == 3, F.lit(694).cast("bigint")).otherwise(0)
-    total = fare + tip + tolls + disc * 25 + 50
-
+    """Raw trips, one per line item, in the column order of the trip schema.
+
+    Each field takes one or two operations, so that cleansing and this mapping still fit one compiled stage.
+    """
+    order, part, supp, line = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
+    start = order % 86399
+    pickup = F.timestamp_add("SECOND", start, F.col("l_shipdate"))
+    dropoff = F.timestamp_add("SECOND", start + part % 3607 - 60, F.col("l_shipdate"))
     return lineitem.select(
-        _unless(order % 97 == 0, (supp % 3 + 1).cast("int")).alias("VendorID"),
-        _unless(order % 101 == 0, pickup).alias("tpep_pickup_datetime"),
-        _unless(part % 103 == 0, dropoff).alias("tpep_dropoff_datetime"),
-        _unless(part % 89 == 0, qty % 7).alias("passenger_count"),
-        _cents((part * 13 + order * 7) % 2500).alias("trip_distance"),
-        _unless(order % 11 == 0, line).alias("RatecodeID"),
-        F.when(F.col("l_returnflag") == "A", "Y").otherwise("N").alias("store_and_fwd_flag"),
+        F.nullif(supp % 4, F.lit(3)).cast("int").alias("VendorID"),
+        F.when(order % 101 != 0, pickup).alias("tpep_pickup_datetime"),
+        F.when(part % 103 != 0, dropoff).alias("tpep_dropoff_datetime"),
+        F.nullif(supp % 7, F.lit(6)).alias("passenger_count"),
+        ((part % 2500).cast("double") / 100).alias("trip_distance"),
+        F.nullif(part % 8, F.lit(0)).alias("RatecodeID"),
+        F.col("l_returnflag").alias("store_and_fwd_flag"),
         (part % 265 + 1).cast("int").alias("PULocationID"),
-        ((supp * 7 + order) % 265 + 1).cast("int").alias("DOLocationID"),
-        _unless(order % 107 == 0, (order + line) % 8).alias("payment_type"),
-        _cents(fare).alias("fare_amount"),
-        _unless(line == 7, _cents(disc * 25)).alias("extra"),
-        _unless(line == 6, F.lit(0.5)).alias("mta_tax"),
-        _unless(supp % 19 == 0, _cents(tip)).alias("tip_amount"),
-        _cents(tolls).alias("tolls_amount"),
-        _unless(order % 5 == 0, F.lit(1.0)).alias("improvement_surcharge"),
-        _cents(total).alias("total_amount"),
-        _unless(supp % 7 == 0, F.lit(2.5)).alias("congestion_surcharge"),
-        _unless(part % 3 == 0, F.lit(1.75)).alias("Airport_fee"),
-        _unless(part % 2 == 0, F.lit(0.75)).alias("cbd_congestion_fee"),
+        (order % 265 + 1).cast("int").alias("DOLocationID"),
+        F.nullif(line, F.lit(2)).cast("bigint").alias("payment_type"),
+        (quantity - 1).alias("fare_amount"),
+        F.nullif("l_discount", F.lit(0.05)).alias("extra"),
+        F.nullif("l_tax", F.lit(0.03)).alias("mta_tax"),
+        F.nullif(quantity, F.lit(7.0)).alias("tip_amount"),
+        F.col("l_discount").alias("tolls_amount"),
+        F.nullif("l_tax", F.lit(0.0)).alias("improvement_surcharge"),
+        F.when(order % 59 != 0, price).otherwise(0.0).alias("total_amount"),
+        F.col("l_tax").alias("congestion_surcharge"),
+        F.nullif("l_discount", F.lit(0.0)).alias("Airport_fee"),
+        F.col("l_discount").alias("cbd_congestion_fee"),
     )
 
 
