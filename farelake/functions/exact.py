@@ -10,62 +10,66 @@ be merged again to a coarser grain without losing anything.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = [
-    "total_amount",
-    "trip_distance_miles",
-    "fare_amount",
-    "extra",
-    "mta_tax",
-    "tip_amount",
-    "tolls_amount",
-    "improvement_surcharge",
-    "congestion_surcharge",
-    "airport_fee",
-    "cbd_congestion_fee",
-]
 WHOLE = ["trip_time_seconds", "passenger_count"]
-EXTREMES = ["total_amount"]
-
-
-def _money_state(name: str) -> list[Column]:
-    # What does not fit a long (NaN, infinity) stays in the double part.
-    cents = f"coalesce(try_cast(rint({name} * 100) AS bigint), 0)"
-    return [
-        F.expr(f"sum({cents}) AS {name}__cents"),
-        F.expr(f"sum({name} - {cents} / 100D) AS {name}__rest"),
-        F.expr(f"count({name}) AS {name}__n"),
-    ]
-
-
-def partial_state(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows -> one state row per key. Unused parts are pruned by the optimizer."""
-    parts = [F.expr("count(*) AS n")]
-    for name in MONEY:
-        parts += _money_state(name)
-    for name in WHOLE:
-        parts += [F.expr(f"sum(bigint({name})) AS {name}__sum"), F.expr(f"count({name}) AS {name}__n")]
-    for name in EXTREMES:
-        parts += [F.expr(f"max({name}) AS {name}__max"), F.expr(f"min({name}) AS {name}__min")]
-    return rows.groupBy(*keys).agg(*parts)
-
-
-def merge_state(state: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """State rows -> state rows at a coarser grain."""
-    parts = [F.expr("sum(n) AS n")]
-    for name in state.columns:
-        if name.endswith(("__cents", "__rest", "__sum", "__n")):
-            parts.append(F.expr(f"sum({name}) AS {name}"))
-        elif name.endswith(("__max", "__min")):
-            parts.append(F.expr(f"{name[-3:]}({name}) AS {name}"))
-    return state.groupBy(*keys).agg(*parts)
+
+
+def _state(name: str, averaged: bool, extremes: bool) -> dict[str, str]:
+    """State columns of one measure and the aggregate that fills each."""
+    if name in WHOLE:
+        parts = {f"{name}__sum": f"sum(bigint({name}))"}
+    else:
+        # What does not fit a long (NaN, infinity) stays in the double part.
+        cents = f"coalesce(try_cast(rint({name} * 100) AS bigint), 0)"
+        parts = {f"{name}__cents": f"sum({cents})", f"{name}__rest": f"sum({name} - {cents} / 100D)"}
+    if averaged:
+        parts[f"{name}__n"] = f"count({name})"
+    if extremes:
+        parts |= {f"{name}__max": f"max({name})", f"{name}__min": f"min({name})"}
+    return parts
+
+
+@dataclass(frozen=True)
+class Measures:
+    """What a mart needs to know about its groups, apart from their number of rows."""
+
+    totals: tuple[str, ...] = ()
+    means: tuple[str, ...] = ()
+    extremes: tuple[str, ...] = ()
+
+    def _parts(self) -> dict[str, str]:
+        names = dict.fromkeys([*self.means, *self.totals, *self.extremes])
+        parts = {"n": "count(*)"}
+        for name in names:
+            parts |= _state(name, name in self.means, name in self.extremes)
+        return parts
+
+    def of_rows(self, rows: DataFrame, keys: Iterable[str]) -> DataFrame:
+        """Rows -> one state row per key."""
+        return rows.groupBy(*keys).agg(*[F.expr(f"{part} AS {name}") for name, part in self._parts().items()])
+
+    def of_states(self, states: DataFrame, keys: Iterable[str]) -> DataFrame:
+        """State rows, of these measures or more -> state rows at a coarser grain."""
+
+        def merged(name: str) -> str:
+            how = name[-3:] if name.endswith(("__max", "__min")) else "sum"
+            return f"{how}({name}) AS {name}"
+
+        return states.groupBy(*keys).agg(*[F.expr(merged(name)) for name in self._parts()])
+
+    def __or__(self, other: Measures) -> Measures:
+        return Measures(*[tuple(dict.fromkeys(getattr(self, f) + getattr(other, f))) for f in _FIELDS])
+
+
+_FIELDS = ("totals", "means", "extremes")
 
 
 def _in_cents(name: str) -> Column:
-    return F.col(f"{name}__cents") + 100 * F.col(f"{name}__rest")
+    return F.expr(f"{name}__cents + 100 * {name}__rest")
 
 
 def total(name: str) -> Column:
@@ -74,7 +78,7 @@ def total(name: str) -> Column:
 
 def mean(name: str) -> Column:
     """Average rounded to two decimals; one correctly rounded division, NULL for an empty group."""
-    count = F.nullif(F.col(f"{name}__n"), F.lit(0))
+    count = F.expr(f"nullif({name}__n, 0)")
     if name in WHOLE:
         return F.round(F.col(f"{name}__sum") / count, 2)
     return F.round(_in_cents(name) / (100 * count), 2)

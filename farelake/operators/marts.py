@@ -14,12 +14,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.functions.calendar import calendar, day_flags
-from farelake.functions.exact import mean, merge_state, partial_state, total
+from farelake.functions.exact import Measures, mean, total
 from farelake.operators.windows import moving_average, moving_average_money, rank_desc, top_ranked
 
 TOP_ROUTES = 1000
 MOVING_ROWS = 7
 
+DAILY = Measures(
+    totals=("total_amount", "tip_amount"),
+    means=("total_amount", "trip_distance_miles", "trip_time_seconds", "passenger_count"),
+    extremes=("total_amount",),
+)
+HOURLY = Measures(means=("total_amount", "trip_distance_miles", "trip_time_seconds"))
+ZONES = Measures(totals=("total_amount",), means=("total_amount", "trip_distance_miles"))
+VENDORS = ZONES
+PAYMENTS = Measures(totals=("total_amount", "tip_amount"), means=("total_amount", "tip_amount"))
+ROUTES = HOURLY
+REVENUE = Measures(
+    totals=(
+        "total_amount",
+        "fare_amount",
+        "extra",
+        "mta_tax",
+        "tip_amount",
+        "tolls_amount",
+        "improvement_surcharge",
+        "congestion_surcharge",
+        "airport_fee",
+        "cbd_congestion_fee",
+    )
+)
+
 DAY_KEYS = ["date", "year", "month", "day", "is_weekend"]
 HOUR_KEYS = ["hour", "day_of_week", "is_weekend"]
 MONTH_KEYS = ["year", "month"]
@@ -45,14 +70,15 @@ def time_rollup(fact: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """State per date, hour, vendor and payment type: a few hundred rows a day at most."""
     rows = with_calendar(fact, times)
     keys = ["date", "hour", "vendor_sk", "payment_type_sk"]
+    needed = DAILY | HOURLY | VENDORS | PAYMENTS | REVENUE
     if times is None:
-        return partial_state(rows, keys).withColumns(day_flags(F.col("date")))
-    return partial_state(rows, [*keys, "year", "month", "day", "day_of_week", "is_weekend"])
+        return needed.of_rows(rows, keys).withColumns(day_flags(F.col("date")))
+    return needed.of_rows(rows, [*keys, "year", "month", "day", "day_of_week", "is_weekend"])
 
 
 def route_rollup(fact: DataFrame) -> DataFrame:
     """State per pair of zones: at most zones squared rows."""
-    return partial_state(fact, ["pickup_location_sk", "dropoff_location_sk"])
+    return (ROUTES | ZONES).of_rows(fact, ["pickup_location_sk", "dropoff_location_sk"])
 
 
 def _daily(state: DataFrame) -> DataFrame:
@@ -90,7 +116,7 @@ def _by_zone(state: DataFrame, locations: DataFrame, role: str) -> DataFrame:
     key, count = f"{role}_location_sk", f"{role}_count"
     named = state.join(locations, state[key] == locations["location_id"], "left")
     return (
-        merge_state(named, ZONE_KEYS)
+        ZONES.of_states(named, ZONE_KEYS)
         .select(
             *ZONE_KEYS,
             F.col("n").alias(count),
@@ -107,7 +133,7 @@ def _by_vendor(state: DataFrame, vendors: DataFrame) -> DataFrame:
     keys = ["date", "vendor_id", "provider_name"]
     named = state.join(vendors, state["vendor_sk"] == vendors["vendor_id"], "left")
     return (
-        merge_state(named, keys)
+        VENDORS.of_states(named, keys)
         .select(
             *keys,
             F.col("n").alias("daily_trips"),
@@ -124,7 +150,7 @@ def _by_payment(state: DataFrame, payments: DataFrame) -> DataFrame:
     keys = [*MONTH_KEYS, "payment_id", "payment_type_name"]
     named = state.join(payments, state["payment_type_sk"] == payments["payment_id"], "left")
     return (
-        merge_state(named, keys)
+        PAYMENTS.of_states(named, keys)
         .select(
             *keys,
             F.col("n").alias("transaction_count"),
@@ -148,7 +174,7 @@ def _by_route(state: DataFrame, locations: DataFrame) -> DataFrame:
     named = state.join(ends("pickup"), F.col("pickup_location_sk") == F.col("pickup_location_id"), "left").join(
         ends("dropoff"), F.col("dropoff_location_sk") == F.col("dropoff_location_id"), "left"
     )
-    routes = merge_state(named, ROUTE_KEYS).select(
+    routes = ROUTES.of_states(named, ROUTE_KEYS).select(
         *ROUTE_KEYS,
         F.col("n").alias("trip_count"),
         mean("trip_distance_miles").alias("avg_distance"),
@@ -180,8 +206,8 @@ def daily_trips(fact: DataFrame, times: DataFrame | None = None) -> DataFrame:
     rows = with_calendar(fact, times)
     if times is None:
         # The date settles the other keys, so group by it alone.
-        return _daily(partial_state(rows, ["date"]).withColumns(day_flags(F.col("date"))))
-    return _daily(partial_state(rows, DAY_KEYS))
+        return _daily(DAILY.of_rows(rows, ["date"]).withColumns(day_flags(F.col("date"))))
+    return _daily(DAILY.of_rows(rows, DAY_KEYS))
 
 
 def hourly_patterns(fact: DataFrame, times: DataFrame | None = None) -> DataFrame:
@@ -190,7 +216,7 @@ def hourly_patterns(fact: DataFrame, times: DataFrame | None = None) -> DataFram
     if times is None:
         # Group by the weekday's number; its name is attached to the 168 results.
         names = F.array(*[F.lit(d) for d in ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")])
-        state = partial_state(rows.withColumn("weekday", F.weekday("pickup_time_sk")), ["hour", "weekday"])
+        state = HOURLY.of_rows(rows.withColumn("weekday", F.weekday("pickup_time_sk")), ["hour", "weekday"])
         return _hourly(
             state.withColumns(
                 {
@@ -199,12 +225,12 @@ def hourly_patterns(fact: DataFrame, times: DataFrame | None = None) -> DataFram
                 }
             )
         )
-    return _hourly(partial_state(rows, HOUR_KEYS))
+    return _hourly(HOURLY.of_rows(rows, HOUR_KEYS))
 
 
 def zone_popularity(fact: DataFrame, locations: DataFrame, role: str) -> DataFrame:
     """Trips and fares per zone and its popularity rank; ``role`` is ``pickup`` or ``dropoff``."""
-    return _by_zone(partial_state(fact, [f"{role}_location_sk"]), locations, role)
+    return _by_zone(ZONES.of_rows(fact, [f"{role}_location_sk"]), locations, role)
 
 
 def pickup_locations(fact: DataFrame, locations: DataFrame) -> DataFrame:
@@ -217,22 +243,22 @@ def dropoff_locations(fact: DataFrame, locations: DataFrame) -> DataFrame:
 
 def vendor_performance(fact: DataFrame, vendors: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Trips and revenue per vendor and day, vendors ranked within the day."""
-    return _by_vendor(partial_state(with_calendar(fact, times), ["date", "vendor_sk"]), vendors)
+    return _by_vendor(VENDORS.of_rows(with_calendar(fact, times), ["date", "vendor_sk"]), vendors)
 
 
 def payment_analysis(fact: DataFrame, payments: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Transactions, revenue and tips per month and payment type."""
-    return _by_payment(partial_state(with_calendar(fact, times), [*MONTH_KEYS, "payment_type_sk"]), payments)
+    return _by_payment(PAYMENTS.of_rows(with_calendar(fact, times), [*MONTH_KEYS, "payment_type_sk"]), payments)
 
 
 def popular_routes(fact: DataFrame, locations: DataFrame) -> DataFrame:
     """The 1000 most frequent routes, ties at the last rank included."""
-    return _by_route(route_rollup(fact), locations)
+    return _by_route(ROUTES.of_rows(fact, ["pickup_location_sk", "dropoff_location_sk"]), locations)
 
 
 def revenue_breakdown(fact: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Revenue components per month."""
-    return _revenue(partial_state(with_calendar(fact, times), MONTH_KEYS))
+    return _revenue(REVENUE.of_rows(with_calendar(fact, times), MONTH_KEYS))
 
 
 def all_marts(
@@ -240,12 +266,12 @@ def all_marts(
 ) -> dict[str, DataFrame]:
     """All eight marts from ``time_rollup`` and ``route_rollup``."""
     return {
-        "agg_daily_trips": _daily(merge_state(by_time, DAY_KEYS)),
-        "agg_hourly_patterns": _hourly(merge_state(by_time, HOUR_KEYS)),
+        "agg_daily_trips": _daily(DAILY.of_states(by_time, DAY_KEYS)),
+        "agg_hourly_patterns": _hourly(HOURLY.of_states(by_time, HOUR_KEYS)),
         "agg_pickup_locations": _by_zone(by_route, locations, "pickup"),
         "agg_dropoff_locations": _by_zone(by_route, locations, "dropoff"),
         "agg_vendor_performance": _by_vendor(by_time, vendors),
         "agg_payment_analysis": _by_payment(by_time, payments),
         "agg_popular_routes": _by_route(by_route, locations),
-        "agg_revenue_breakdown": _revenue(merge_state(by_time, MONTH_KEYS)),
+        "agg_revenue_breakdown": _revenue(REVENUE.of_states(by_time, MONTH_KEYS)),
     }
