@@ -18,14 +18,20 @@ from pyspark.sql import functions as F
 WHOLE = ["trip_time_seconds", "passenger_count"]
 
 
+def money_parts(name: str) -> tuple[str, str]:
+    """Whole cents of a column and what is left, as SQL; the latter is NULL where the column is."""
+    # What does not fit a long (NaN, infinity) stays in the double part.
+    cents = f"coalesce(try_cast(rint({name} * 100) AS bigint), 0)"
+    return cents, f"{name} - {cents} / 100D"
+
+
 def _state(name: str, averaged: bool, extremes: bool) -> dict[str, str]:
     """State columns of one measure and the aggregate that fills each."""
     if name in WHOLE:
         parts = {f"{name}__sum": f"sum(bigint({name}))"}
     else:
-        # What does not fit a long (NaN, infinity) stays in the double part.
-        cents = f"coalesce(try_cast(rint({name} * 100) AS bigint), 0)"
-        parts = {f"{name}__cents": f"sum({cents})", f"{name}__rest": f"sum({name} - {cents} / 100D)"}
+        cents, rest = money_parts(name)
+        parts = {f"{name}__cents": f"sum({cents})", f"{name}__rest": f"sum({rest})"}
     if averaged:
         parts[f"{name}__n"] = f"count({name})"
     if extremes:

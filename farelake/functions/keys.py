@@ -18,8 +18,9 @@ def epoch_millis(df: DataFrame, name: str, time_zone: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         utc = F.convert_timezone(F.lit(time_zone), F.lit("UTC"), ts)
-        millis = F.floor(F.date_part(F.lit("SECOND"), utc) * 1000) % 1000
-        return F.unix_timestamp(utc) * 1000 + millis.cast("bigint")
+        midnight = F.unix_timestamp(utc.cast("date").cast("timestamp_ntz")) * 1000
+        second = F.floor(F.date_part(F.lit("SECOND"), utc) * 1000).cast("bigint")
+        return midnight + F.hour(utc) * 3_600_000 + F.minute(utc) * 60_000 + second
     if isinstance(kind, T.TimestampType):
         return F.unix_millis(ts)
     raise TypeError(f"{name} is {kind.simpleString()}, not a timestamp")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from farelake.functions.exact import money_parts
+
 
 def moving_average(column: str, order_by: str, rows: int) -> Column:
     """Average of this and the ``rows - 1`` rows before it; missing dates are not filled in."""
@@ -16,8 +18,9 @@ def moving_average(column: str, order_by: str, rows: int) -> Column:
 def moving_average_money(column: str, order_by: str, rows: int) -> Column:
     """The same for amounts already rounded to cents: summed as whole cents, divided once."""
     span = Window.orderBy(order_by).rowsBetween(1 - rows, 0)
-    cents = F.rint(F.col(column) * 100).cast("bigint")
-    return F.round(F.sum(cents).over(span) / (100 * F.nullif(F.count(column).over(span), F.lit(0))), 2)
+    cents, rest = money_parts(column)
+    total = F.sum(F.expr(cents)).over(span) + 100 * F.sum(F.expr(rest)).over(span)
+    return F.round(total / (100 * F.nullif(F.count(column).over(span), F.lit(0))), 2)
 
 
 def rank_desc(column: str, *partition_by: str) -> Column:
