@@ -1,11 +1,12 @@
-"""Jobs for spark-submit: ``python -m farelake batch|stream|replay|land ...``."""
+"""Jobs for spark-submit: ``python -m farelake --time-zone Z batch|export|stream|replay|land ...``."""
 
 from __future__ import annotations
 
 import argparse
+import json
 from pathlib import Path
 
-from farelake.plans.batch import run_batch
+from farelake.plans.batch import export_tables, run_batch
 from farelake.plans.stream import StreamTargets, run_replay, run_stream
 from farelake.session import build_session
 from farelake.sinks.streams import land_partitioned, land_text
@@ -27,6 +28,14 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--calendar", choices=["derive", "join"], default="derive")
     batch.add_argument("--by-month", action="store_true", help="store the fact in a folder per pickup month")
 
+    export = jobs.add_parser("export", help="stored tables -> database")
+    export.add_argument("--root", required=True)
+    export.add_argument("--url", required=True)
+    export.add_argument("--properties", required=True, help="JSON file with user, password and driver")
+    export.add_argument("--prefix", default="", help="put before each table name, such as a database and a dot")
+    export.add_argument("--engine", default="MergeTree")
+    export.add_argument("--connections", type=int)
+
     def topic(job: argparse.ArgumentParser) -> None:
         job.add_argument("--servers", required=True)
         job.add_argument("--topic", required=True)
@@ -69,6 +78,12 @@ def main(argv: list[str] | None = None) -> None:
         run = run_batch(spark, args.trips, args.zones, args.root, args.row_limit, args.calendar, args.by_month)
         run.summary.show(truncate=False)
         return
+    if args.job == "export":
+        properties = json.loads(Path(args.properties).read_text())
+        export_tables(
+            spark, args.root, args.url, properties, args.prefix, engine=args.engine, connections=args.connections
+        )
+        return
     if args.job == "replay":
         files = args.max_files if args.max_files or args.max_bytes else 1
         trips = replay_trips(

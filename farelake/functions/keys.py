@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def trip_key(vendor: str = "VendorID", pickup: str = "tpep_pickup_datetime") -> Column:
     """``vendor:yyyy-MM-dd``; a NULL part is left out, so the key itself is never NULL."""
-    return F.concat_ws(":", F.col(vendor), F.date_format(F.col(pickup), "yyyy-MM-dd"))
+    return F.concat_ws(":", F.col(vendor), F.col(pickup).cast("date"))
 
 
 def epoch_millis(df: DataFrame, name: str, time_zone: str) -> Column:

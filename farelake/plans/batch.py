@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from farelake.operators import marts, star
 from farelake.operators.clean import clean_trips, conform_trips
-from farelake.schemas import MART_TABLES, STAR_TABLES
+from farelake.schemas import MART_TABLES, SORT_KEYS, STAR_TABLES
+from farelake.sinks.jdbc import write_table
 from farelake.sinks.tables import read_star_or_mart, run_summary, table_path, write_parquet, write_star_or_mart
 from farelake.sources.files import read_trips, read_zones
+from farelake.sources.jdbc import read_table, require_jdbc
 
 FACT_FOLDER = "pickup_month"
 
@@ -66,15 +69,46 @@ def build_star(
         write_star_or_mart(star.dim_time(stored, "pickup_time_sk", "dropoff_time_sk"), root, "dim_time")
 
 
-def build_marts(spark: SparkSession, root: str, calendar: str = "derive") -> None:
-    """Store the two roll-ups of the stored fact, then the eight marts derived from them."""
-    fact = read_star_or_mart(spark, root, "fact_trip")
-    times = read_star_or_mart(spark, root, "dim_time") if calendar == "join" else None
+def stored_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored dimensions and the fact."""
+    return {name: read_star_or_mart(spark, root, name) for name in STAR_TABLES}
+
+
+def database_star(
+    spark: SparkSession,
+    url: str,
+    properties: dict[str, str],
+    prefix: str = "",
+    fact_rows: int | None = None,
+    partitions: int = 1,
+) -> dict[str, DataFrame]:
+    """The dimensions and the fact from a database.
+
+    With more than one partition the fact is read in that many ranges of its surrogate key, of which
+    ``fact_rows`` is the upper end.
+    """
+    star_tables = {name: read_table(spark, url, prefix + name, properties) for name in STAR_TABLES}
+    if partitions > 1:
+        split = ("fact_trip_sk", 0, fact_rows, partitions)
+        star_tables["fact_trip"] = read_table(spark, url, f"{prefix}fact_trip", properties, *split)
+    return star_tables
+
+
+def build_marts(
+    spark: SparkSession, root: str, calendar: str = "derive", tables: dict[str, DataFrame] | None = None
+) -> None:
+    """Store the two roll-ups of the fact, then the eight marts derived from them.
+
+    ``tables`` is the star schema to read, by default the one stored under ``root``.
+    """
+    tables = tables or stored_star(spark, root)
+    fact = tables["fact_trip"]
+    times = tables["dim_time"] if calendar == "join" else None
     rollups = {"rollup_time": marts.time_rollup(fact, times), "rollup_route": marts.route_rollup(fact)}
     for name, rollup in rollups.items():
         write_parquet(rollup, table_path(root, name))
     stored = [spark.read.parquet(table_path(root, name)) for name in rollups]
-    lookups = [read_star_or_mart(spark, root, name) for name in ("dim_vendor", "dim_payment", "dim_location")]
+    lookups = [tables[name] for name in ("dim_vendor", "dim_payment", "dim_location")]
     for name, mart in marts.all_marts(*stored, *lookups).items():
         write_star_or_mart(mart, root, name)
 
@@ -105,3 +139,20 @@ def run_batch(
     """The whole batch layer from trip files and the zone CSV."""
     trips = read_trips(spark, trips_path, row_limit)
     return run_batch_on(spark, trips, read_zones(spark, zones_path), root, calendar, by_month)
+
+
+def export_tables(
+    spark: SparkSession,
+    root: str,
+    url: str,
+    properties: dict[str, str],
+    prefix: str = "",
+    names: Sequence[str] = (*STAR_TABLES, *MART_TABLES),
+    engine: str | None = "MergeTree",
+    connections: int | None = None,
+) -> None:
+    """Replace the rows of the database's tables with the stored ones, after checking that it answers."""
+    require_jdbc(spark, url, properties)
+    for name in names:
+        rows = read_star_or_mart(spark, root, name)
+        write_table(rows, url, prefix + name, properties, SORT_KEYS[name], "overwrite", engine, connections)

@@ -306,7 +306,8 @@ GROUP BY ALL
     "serve_by_vendor": _SPEED + "SELECT VendorID AS vendorid, count(*) AS trip_count FROM enriched GROUP BY VendorID",
     "serve_revenue_by_dropoff": _SPEED
     + """
-SELECT CAST(DOLocationID AS VARCHAR) AS doid, sum(total_amount) AS total_revenue
+SELECT CAST(DOLocationID AS VARCHAR) AS doid,
+  CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_revenue
 FROM enriched
 GROUP BY DOLocationID
 """,

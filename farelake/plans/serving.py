@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelake.functions.exact import money_parts
 from farelake.sinks.upsert import read_upserted
 
 ENRICHED_VIEW = "yellow_taxi_raw"
@@ -38,9 +39,10 @@ def trips_by_vendor(spark: SparkSession) -> DataFrame:
 
 def revenue_by_dropoff(spark: SparkSession) -> DataFrame:
     # Group by the number and turn it into text afterwards: the same groups, a cheaper key.
+    cents, rest = money_parts("total_amount")
     return spark.sql(
         f"""
-        SELECT cast(DOLocationID AS string) AS doid, sum(total_amount) AS total_revenue
+        SELECT cast(DOLocationID AS string) AS doid, (sum({cents}) + 100 * sum({rest})) / 100 AS total_revenue
         FROM {ENRICHED_VIEW}
         GROUP BY DOLocationID
         """

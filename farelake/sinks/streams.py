@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from farelake.functions.keys import epoch_millis, trip_key
-from farelake.schemas import TRIP_V2, avro_schema
+from farelake.schemas import TRIP_V1, TRIP_V2, avro_schema
 from farelake.sources.envelope import add_header
 
 
@@ -93,6 +94,15 @@ def message_fields(trips: DataFrame, time_zone: str) -> DataFrame:
     return trips.select(trip_key().alias("key"), *fields)
 
 
+def old_message_fields(trips: DataFrame) -> DataFrame:
+    """The trip fields of message version 1: timestamps as text, whole numbers, single-precision money."""
+
+    def field(new: T.StructField, old: T.StructField) -> Column:
+        return F.col(new.name).cast(old.dataType).alias(old.name)
+
+    return trips.select(*[field(new, old) for new, old in zip(TRIP_V2, TRIP_V1, strict=True)])
+
+
 def encode_messages(
     trips: DataFrame,
     time_zone: str,

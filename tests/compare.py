@@ -7,7 +7,10 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+)
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -24,18 +27,12 @@ def multiset(columns: list[str], rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-def differences(df, sql: str, con: duckdb.DuckDBPyConnection, digits: int | None = None) -> list[str]:
-    """Empty when both give the same columns and rows; floats are equal to ``digits`` if given."""
-
-    def plain(rows):
-        if digits is None:
-            return rows
-        return [tuple(round(v, digits) if isinstance(v, float) else v for v in row) for row in rows]
-
+def differences(df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]:
+    """Empty when both give the same columns and rows."""
     cursor = con.execute(sql)
     want_columns = [d[0] for d in cursor.description]
-    want = multiset(want_columns, plain(cursor.fetchall()))
-    have = multiset(df.columns, plain([tuple(r) for r in df.collect()]))
+    want = multiset(want_columns, cursor.fetchall())
+    have = multiset(df.columns, [tuple(r) for r in df.collect()])
     found = []
     if sorted(df.columns) != sorted(want_columns):
         found.append(f"columns {sorted(df.columns)} / {sorted(want_columns)}")

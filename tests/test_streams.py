@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 from rows import GOOD, same_rows, trips, wall_clock, zones
 
 from farelake.functions.keys import epoch_millis, trip_key
-from farelake.operators.clean import clean_trips
+from farelake.operators.clean import clean_trips, conform_trips
 from farelake.plans import serving
 from farelake.plans.stream import StreamTargets, run_stream, start_window_counts
-from farelake.schemas import TRIP_V2
+from farelake.schemas import TRIP_V1, TRIP_V2
 from farelake.session import scratch_path, zoned_session
-from farelake.sinks.streams import append_stream, console_stream, land_partitioned, land_text, publish_batches
+from farelake.sinks.streams import (
+    append_stream,
+    console_stream,
+    land_partitioned,
+    land_text,
+    old_message_fields,
+    publish_batches,
+)
 from farelake.sinks.upsert import read_upserted, upsert_batches
 from farelake.sources.envelope import add_header, decode_envelope, strip_header
 from farelake.sources.files import read_landed_trips, replay_trips
@@ -223,6 +230,14 @@ def test_published_trips_decode_to_themselves(spark, tmp_path):
     assert same_rows(decoded, as_read)
 
 
+def test_old_message_version_and_back(spark):
+    rows = trips(spark, {}, {"passenger_count": None})
+    old = old_message_fields(rows)
+    assert old.schema == TRIP_V1
+    assert old.head().tpep_pickup_datetime == "2025-03-01 10:00:00"
+    assert same_rows(conform_trips(old), conform_trips(rows.select(*[F.col(f.name).cast(f.dataType) for f in TRIP_V2])))
+
+
 def test_broken_message_by_mode(spark):
     broken = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01{oops"),)], "value binary")
     assert decode_envelope(broken, "", "PERMISSIVE", decode).head().VendorID is None

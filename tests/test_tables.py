@@ -32,7 +32,7 @@ def test_every_table_has_a_sort_key_of_its_own_columns():
     assert all(set(SORT_KEYS[n]) <= set(TABLES[n].names) for n in TABLES)
 
 
-@pytest.mark.parametrize("options", [{}, {"by_month": True}, {"calendar": "join"}])
+@pytest.mark.parametrize("options", [{}, {"by_month": True, "calendar": "join"}])
 def test_second_run_gives_the_same_tables(spark, raw, tmp_path, options):
     root = str(tmp_path / "dw")
     first = batch.run_batch_on(spark, raw, zones(spark, range(1, 200)), root, **options)
