@@ -91,16 +91,21 @@ def fact_trip(
 
     The time dimension holds exactly the trips' own timestamps, so a timestamp is its own key and needs
     no join. Pass ``times`` to join a stored time dimension all the same: two shuffles of the fact.
+
+    Keys are made distinct first. A repeated lookup row then cannot multiply trips, and Spark leaves out
+    the joins whose keys a query does not use.
     """
 
     def keys(dim: DataFrame, column: str, role: str) -> DataFrame:
-        return broadcast_if_small(dim).select(F.col(column).alias(role))
+        return broadcast_if_small(dim).select(F.col(column).alias(role)).distinct()
 
-    zones = broadcast_if_small(locations).select("location_id")
+    zones = broadcast_if_small(locations).select("location_id").distinct()
+    # The codes are cast, not the lookup keys: Spark must see the bare distinct key to leave out a join.
+    vendor, rate, payment = (F.col(c).cast("int") for c in ("VendorID", "RatecodeID", "payment_type"))
     joined = (
-        trips.join(keys(vendors, "vendor_id", "vendor_sk"), F.col("VendorID") == F.col("vendor_sk"), "left")
-        .join(keys(ratecodes, "rate_code_id", "rate_sk"), F.col("RatecodeID") == F.col("rate_sk"), "left")
-        .join(keys(payments, "payment_id", "payment_type_sk"), F.col("payment_type") == F.col("payment_type_sk"), "left")
+        trips.join(keys(vendors, "vendor_id", "vendor_sk"), vendor == F.col("vendor_sk"), "left")
+        .join(keys(ratecodes, "rate_code_id", "rate_sk"), rate == F.col("rate_sk"), "left")
+        .join(keys(payments, "payment_id", "payment_type_sk"), payment == F.col("payment_type_sk"), "left")
         .join(zones.alias("pu"), F.col("PULocationID") == F.col("pu.location_id"), "left")
         .join(zones.alias("do"), F.col("DOLocationID") == F.col("do.location_id"), "left")
     )

@@ -17,7 +17,7 @@ def _sum(value: str) -> str:
 TRIPS = """
 trips AS (
   SELECT
-    CAST(nullif(l_suppkey % 4, 3) AS INTEGER) AS VendorID,
+    nullif(l_linenumber % 4, 3) AS VendorID,
     CASE WHEN l_orderkey % 101 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399) END AS tpep_pickup_datetime,
     CASE WHEN l_partkey % 103 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399 + l_partkey % 3607 - 60) END
       AS tpep_dropoff_datetime,
@@ -27,16 +27,16 @@ trips AS (
     l_returnflag AS store_and_fwd_flag,
     CAST(l_partkey % 265 + 1 AS INTEGER) AS PULocationID,
     CAST(l_orderkey % 265 + 1 AS INTEGER) AS DOLocationID,
-    CAST(nullif(l_linenumber, 2) AS BIGINT) AS payment_type,
+    nullif(l_suppkey % 9, 8) AS payment_type,
     l_quantity - 1 AS fare_amount,
     nullif(l_discount, 0.05::DOUBLE) AS extra,
-    nullif(l_tax, 0.03::DOUBLE) AS mta_tax,
+    l_tax AS mta_tax,
     nullif(l_quantity, 7::DOUBLE) AS tip_amount,
     l_discount AS tolls_amount,
     nullif(l_tax, 0::DOUBLE) AS improvement_surcharge,
     CASE WHEN l_orderkey % 59 <> 0 THEN l_extendedprice ELSE 0 END AS total_amount,
     l_tax AS congestion_surcharge,
-    nullif(l_discount, 0::DOUBLE) AS Airport_fee,
+    l_discount AS Airport_fee,
     l_discount AS cbd_congestion_fee
   FROM lineitem
 )"""

@@ -21,7 +21,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     pickup = F.timestamp_add("SECOND", start, F.col("l_shipdate"))
     dropoff = F.timestamp_add("SECOND", start + part % 3607 - 60, F.col("l_shipdate"))
     return lineitem.select(
-        F.nullif(supp % 4, F.lit(3)).cast("int").alias("VendorID"),
+        F.nullif(line % 4, F.lit(3)).alias("VendorID"),
         F.when(order % 101 != 0, pickup).alias("tpep_pickup_datetime"),
         F.when(part % 103 != 0, dropoff).alias("tpep_dropoff_datetime"),
         F.nullif(supp % 7, F.lit(6)).alias("passenger_count"),
@@ -30,16 +30,16 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.col("l_returnflag").alias("store_and_fwd_flag"),
         (part % 265 + 1).cast("int").alias("PULocationID"),
         (order % 265 + 1).cast("int").alias("DOLocationID"),
-        F.nullif(line, F.lit(2)).cast("bigint").alias("payment_type"),
+        F.nullif(supp % 9, F.lit(8)).alias("payment_type"),
         (quantity - 1).alias("fare_amount"),
         F.nullif("l_discount", F.lit(0.05)).alias("extra"),
-        F.nullif("l_tax", F.lit(0.03)).alias("mta_tax"),
+        F.col("l_tax").alias("mta_tax"),
         F.nullif(quantity, F.lit(7.0)).alias("tip_amount"),
         F.col("l_discount").alias("tolls_amount"),
         F.nullif("l_tax", F.lit(0.0)).alias("improvement_surcharge"),
         F.when(order % 59 != 0, price).otherwise(0.0).alias("total_amount"),
         F.col("l_tax").alias("congestion_surcharge"),
-        F.nullif("l_discount", F.lit(0.0)).alias("Airport_fee"),
+        F.col("l_discount").alias("Airport_fee"),
         F.col("l_discount").alias("cbd_congestion_fee"),
     )
 

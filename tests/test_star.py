@@ -121,3 +121,20 @@ def test_contract_names_the_difference(spark):
     with pytest.raises(ContractError, match="order"):
         assert_contract(star.dim_vendor(spark).select("provider_name", "vendor_id"), DIM_VENDOR)
     assert_contract(facts(spark, {}), FACT_TRIP)
+
+
+def test_repeated_lookup_rows_do_not_multiply_trips(spark):
+    clean = clean_trips(trips(spark, {}, {"VendorID": 2}))
+    twice = [d.unionByName(d) for d in (*lookups(spark), zones(spark, [10, 20]))]
+    assert same_rows(
+        star.fact_trip(clean, *twice).drop("fact_trip_sk"),
+        star.fact_trip(clean, *lookups(spark), zones(spark, [10, 20])).drop("fact_trip_sk"),
+    )
+
+
+def test_joins_whose_keys_are_unused_are_left_out(spark, tmp_path):
+    trips(spark, {}).write.parquet(str(tmp_path / "t"))
+    clean = clean_trips(spark.read.parquet(str(tmp_path / "t")))
+    fact = star.fact_trip(clean, *lookups(spark), zones(spark, [10]))
+    assert "Join" not in plan_of(fact.groupBy("pickup_time_sk").sum("total_amount"))
+    assert plan_of(fact.groupBy("vendor_sk").sum("total_amount")).count("BroadcastHashJoin") == 1
