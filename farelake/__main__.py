@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.trips, max_files=files, max_bytes=args.max_bytes, latest_first=not args.oldest_first
         )
         run_replay(
-            trips, args.servers, args.topic, args.time_zone, args.schema_id, args.checkpoints, args.interval
+            trips, args.servers, args.topic, args.schema_id, args.checkpoints, args.interval
         ).awaitTermination()
         return
     messages = read_kafka(spark, args.servers, args.topic, args.starting_offsets)

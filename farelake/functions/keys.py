@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def trip_key(vendor: str = "VendorID", pickup: str = "tpep_pickup_datetime") -> Column:
@@ -12,15 +11,6 @@ def trip_key(vendor: str = "VendorID", pickup: str = "tpep_pickup_datetime") ->
     return F.concat_ws(":", F.col(vendor), F.col(pickup).cast("date"))
 
 
-def epoch_millis(df: DataFrame, name: str, time_zone: str) -> Column:
-    """Milliseconds since 1970 UTC; a wall-clock column is read as local time of ``time_zone``."""
-    ts = F.col(name)
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        utc = F.convert_timezone(F.lit(time_zone), F.lit("UTC"), ts)
-        midnight = F.unix_timestamp(utc.cast("date").cast("timestamp_ntz")) * 1000
-        second = F.floor(F.date_part(F.lit("SECOND"), utc) * 1000).cast("bigint")
-        return midnight + F.hour(utc) * 3_600_000 + F.minute(utc) * 60_000 + second
-    if isinstance(kind, T.TimestampType):
-        return F.unix_millis(ts)
-    raise TypeError(f"{name} is {kind.simpleString()}, not a timestamp")
+def epoch_millis(column: str) -> Column:
+    """Milliseconds since 1970 UTC; a wall-clock column is read in the session's time zone."""
+    return F.unix_millis(F.col(column).cast("timestamp"))

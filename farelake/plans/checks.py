@@ -97,14 +97,11 @@ def lookup_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips per message key, with the span of their times in epoch milliseconds."""
-    trips = raw_trips(spark, sf_dir)
-    return (
-        trips.groupBy(trip_key().alias("key"))
-        .agg(
-            F.count("*").alias("messages"),
-            F.min(epoch_millis(trips, "tpep_pickup_datetime", ZONE)).alias("first_pickup_ms"),
-            F.max(epoch_millis(trips, "tpep_dropoff_datetime", ZONE)).alias("last_dropoff_ms"),
-        )
+    trips = raw_trips(zoned_session(spark, ZONE), sf_dir)
+    return trips.groupBy(trip_key().alias("key")).agg(
+        F.count("*").alias("messages"),
+        F.min(epoch_millis("tpep_pickup_datetime")).alias("first_pickup_ms"),
+        F.max(epoch_millis("tpep_dropoff_datetime")).alias("last_dropoff_ms"),
     )
 
 
@@ -199,7 +196,7 @@ def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     session = zoned_session(spark, ZONE)
     work = scratch_path(session, "replay")
-    publish = publish_batches("", "", ZONE, 7, source="parquet", encode=_json_record, path=f"{work}/topic")
+    publish = publish_batches("", "", 7, source="parquet", encode=_json_record, path=f"{work}/topic")
     trips = trips_from_lineitem(stream_of(session, sf_dir, "lineitem"))
     (
         trips.writeStream.foreachBatch(publish)

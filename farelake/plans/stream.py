@@ -104,13 +104,12 @@ def run_replay(
     trips: DataFrame,
     servers: str,
     topic: str,
-    time_zone: str,
     schema_id: int,
     checkpoint: str,
     interval: str | None = "10 seconds",
     partitions: int | None = None,
 ) -> StreamingQuery:
     """Publish a stream of trip files as keyed Avro messages, one batch per trigger."""
-    publish = publish_batches(servers, topic, time_zone, schema_id, partitions)
+    publish = publish_batches(servers, topic, schema_id, partitions)
     writer = trips.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return triggered(writer, interval).start()

@@ -85,11 +85,11 @@ def land_text(
     return triggered(writer.format("text").option("checkpointLocation", checkpoint), interval).start(path)
 
 
-def message_fields(trips: DataFrame, time_zone: str) -> DataFrame:
+def message_fields(trips: DataFrame) -> DataFrame:
     """Message key and the twenty trip fields, timestamps as epoch milliseconds."""
     stamps = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     fields = [
-        epoch_millis(trips, f.name, time_zone).alias(f.name) if f.name in stamps else F.col(f.name) for f in TRIP_V2
+        epoch_millis(f.name).alias(f.name) if f.name in stamps else F.col(f.name) for f in TRIP_V2
     ]
     return trips.select(trip_key().alias("key"), *fields)
 
@@ -105,7 +105,6 @@ def old_message_fields(trips: DataFrame) -> DataFrame:
 
 def encode_messages(
     trips: DataFrame,
-    time_zone: str,
     schema_id: int,
     encode: Callable[[Column, str], Column] | None = None,
 ) -> DataFrame:
@@ -115,7 +114,7 @@ def encode_messages(
     """
     if encode is None:
         from pyspark.sql.avro.functions import to_avro as encode
-    fields = message_fields(trips, time_zone)
+    fields = message_fields(trips)
     record = F.struct(
         *[
             F.timestamp_millis(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
@@ -128,7 +127,6 @@ def encode_messages(
 def publish_batches(
     servers: str,
     topic: str,
-    time_zone: str,
     schema_id: int,
     partitions: int | None = None,
     source: str = "kafka",
@@ -145,7 +143,7 @@ def publish_batches(
         if batch.isEmpty():
             return
         rows = batch.repartition(partitions) if partitions else batch
-        writer = encode_messages(rows, time_zone, schema_id, encode).write.format(source).mode("append")
+        writer = encode_messages(rows, schema_id, encode).write.format(source).mode("append")
         if source == "kafka":
             writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
         writer.options(**options).save()

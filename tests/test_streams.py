@@ -196,17 +196,13 @@ def test_key_and_millis(spark):
     no_vendor, no_pickup = {"VendorID": None}, {"tpep_pickup_datetime": None}
     rows = trips(spark, {}, no_vendor, no_pickup, no_vendor | no_pickup)
     assert [r[0] for r in rows.select(trip_key()).collect()] == ["1:2025-03-01", "2025-03-01", "1", ""]
-    stamp = trips(spark, {"tpep_pickup_datetime": datetime(2025, 7, 1, 0, 0, 1, 234567)})
-    name = "tpep_pickup_datetime"
-    utc = 1751328001234
-    assert stamp.select(epoch_millis(stamp, name, "UTC")).head()[0] == utc
-    assert stamp.select(epoch_millis(stamp, name, "America/New_York")).head()[0] == utc + 4 * 3600 * 1000
-    instant = stamp.withColumn(name, F.col(name).cast("timestamp"))
-    assert instant.select(epoch_millis(instant, name, "Asia/Tokyo")).head()[0] == utc
+    name, utc = "tpep_pickup_datetime", 1751328001234
+    stamp = {name: datetime(2025, 7, 1, 0, 0, 1, 234567)}
+    for zone, hours in (("UTC", 0), ("America/New_York", 4), ("Asia/Tokyo", -9)):
+        there = zoned_session(spark, zone)
+        assert trips(there, stamp).select(epoch_millis(name)).head()[0] == utc + hours * 3600 * 1000
     early = trips(spark, {name: datetime(1969, 12, 31, 23, 59, 59, 500000)})
-    assert early.select(epoch_millis(early, name, "UTC")).head()[0] == -500
-    with pytest.raises(TypeError):
-        epoch_millis(rows, "VendorID", "UTC")
+    assert early.select(epoch_millis(name)).head()[0] == -500
 
 
 def encode(record, schema):
@@ -219,7 +215,7 @@ def decode(record, schema, options):
 
 def test_published_trips_decode_to_themselves(spark, tmp_path):
     batch = trips(spark, {}, {"VendorID": 2, "extra": None}, {"tpep_dropoff_datetime": None})
-    publish = publish_batches("", "", "UTC", 3, partitions=2, source="parquet", encode=encode, path=str(tmp_path / "t"))
+    publish = publish_batches("", "", 3, partitions=2, source="parquet", encode=encode, path=str(tmp_path / "t"))
     publish(batch.limit(0), 0)
     assert not (tmp_path / "t").exists()
     publish(batch, 1)
