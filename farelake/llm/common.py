@@ -80,3 +80,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     with _files_go(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the files of a table that ``stored`` returned and nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    for file in df.inputFiles():
+        path = context._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, False)
+
+
+def ranked(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` with ``rank``, its rows counted from 0 in the order of ``by`` (nulls first): a range shuffle, then the
+    rows before each partition, of which there is one number a partition."""
+    spark = df.sparkSession
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_m", F.monotonically_increasing_id())
+    parts = stored(ordered, "ordered").withColumn("_part", F.shiftright("_m", 33))
+    before = 0
+    starts = []
+    for row in parts.groupBy("_part").count().orderBy("_part").collect():
+        starts.append((row["_part"], before))
+        before += row["count"]
+    offsets = spark.createDataFrame(starts, "_part long, _start long")
+    rank = F.col("_start") + F.col("_m").bitwiseAND((1 << 33) - 1)
+    return parts.join(F.broadcast(offsets), "_part").withColumn("rank", rank).drop("_part", "_m", "_start")
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles both sides whatever their sizes: nothing that grows with the input is
+    broadcast, and AQE splits frequent keys."""
+    return df.hint("merge")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, sharding
+from . import decontam, licenses, linededup, neardup, packing, recompress, sharding
 from .common import read
 
 
@@ -16,11 +16,37 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return recompress.drop_repeats(docs, whole=False).withColumnRenamed("kept", "kept_sha256")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan_licenses(docs, licenses.known_digests(spark))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.overlaps(docs, read(spark, sf_dir, "benchmark"))
@@ -37,7 +63,10 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup,
+    "op4_near_duplicates": near_duplicates,
+    "op5_substring_dedup": substring_dedup,
     "op6_license_scan": license_scan,
+    "op8_packing": packing_query,
     "op9_decontamination": decontamination,
     "op10_sharding": shards,
 }
