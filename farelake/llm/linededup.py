@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, stored, without
+from .common import same, shuffled, stored, without
 
 _OWN = ["n_lines", "n_removed", "_th", "_h", "_cut", "_id"]
 
@@ -76,7 +76,7 @@ def repeated_lines(docs: DataFrame, window: int = 2, long_line: int = 50) -> Dat
         .select("print"),
         "fingerprints",
     )
-    found = runs.join(shared, "print").withColumn("many", F.col("first") != F.col("last"))
+    found = runs.join(shuffled(shared), "print").withColumn("many", F.col("first") != F.col("last"))
     # Matches grow from the fingerprint to both ends of its windows; overlapping windows make up the whole run.
     found = stored(found.drop("print"), "matches")
     earliest = stored(
@@ -86,7 +86,7 @@ def repeated_lines(docs: DataFrame, window: int = 2, long_line: int = 50) -> Dat
         .drop("high"),
         "origins",
     )
-    later = found.join(earliest, ["k1", "k2", "many"]).where(~same(place, F.col("origin")))
+    later = found.join(shuffled(earliest), ["k1", "k2", "many"]).where(~same(place, F.col("origin")))
     cuts = later.groupBy("doc_id", "_th").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     lines = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"]))))
     return cuts.select("doc_id", "_th", lines.alias("_cut"))
@@ -112,7 +112,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, long_line: int = 50) -> DataFr
         F.col("doc_id").alias("_id"), F.col("_th").alias("_th2"), "_cut"
     )
     rows = without(docs, [*_OWN, "_th2"]).withColumn("_th", F.xxhash64("text"))
-    joined = rows.join(cuts, same(F.col("doc_id"), F.col("_id")) & (F.col("_th") == F.col("_th2")), "left")
+    joined = rows.join(shuffled(cuts), same(F.col("doc_id"), F.col("_id")) & (F.col("_th") == F.col("_th2")), "left")
     split = F.split("text", "\n")
     left = F.array_join(F.filter(split, lambda _, n: ~F.array_contains("_cut", n)), "\n")
     others = [F.col(f"`{c}`") for c in rows.columns if c not in ("text", "_th")]
