@@ -6,6 +6,7 @@ import atexit
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,19 @@ NO_TERM = r"[^\p{L}\p{N}]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, besides where they look anyway."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = ":".join([_ROOT, *filter(None, paths)])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

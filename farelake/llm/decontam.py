@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_TERM, same, without
+from .common import NO_TERM, same, shuffled, stored, without
 
 #: Word positions that each mask looks at. Five words a mask; no mask needs every residue of a period of five, so a
 #: passage with each fifth word replaced is found as well.
@@ -100,5 +100,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     held = overlaps(docs, items).select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).distinct()
     rows = without(docs, ["_id", "_t"])
     return rows.join(
-        held, same(F.col("doc_id"), F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left_anti"
+        shuffled(stored(held, "held")), same(F.col("doc_id"), F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left_anti"
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, neardup, packing, recompress, sharding
+from . import decontam, imatch, licenses, linededup, neardup, packing, quality, recompress, sharding, toxicity
 from .common import read
 
 
@@ -26,11 +26,28 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs, licenses.known_digests(spark))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    labels = read(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    lexicon = toxicity.learn(docs.join(labels, "doc_id"))
+    return toxicity.score_texts(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edited(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = quality.grade(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return graded.select("doc_id", "host", "path", "logit", "probability", "kept")
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,9 +80,12 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup,
+    "op2_toxicity": toxicity_scores,
+    "op3_document_fingerprints": document_fingerprints,
     "op4_near_duplicates": near_duplicates,
     "op5_substring_dedup": substring_dedup,
     "op6_license_scan": license_scan,
+    "op7_quality": quality_grades,
     "op8_packing": packing_query,
     "op9_decontamination": decontamination,
     "op10_sharding": shards,
