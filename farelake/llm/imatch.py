@@ -50,7 +50,7 @@ def fingerprints(rows: DataFrame, keys: list[str], words: DataFrame) -> DataFram
         "k",
         F.xxhash64("k", F.lit(1)).alias("b0"),
         F.xxhash64("k", F.lit(2)).alias("b1"),
-        F.xxhash64("h", F.lit(3)).alias("m"),
+        F.when(F.col("h").isNotNull(), F.xxhash64("h", F.lit(3))).alias("m"),
     )
     sums = [
         F.bit_xor(F.when(F.col("k").isNotNull() & _inside(level, subset), F.col("m"))).alias(f"s{level}_{subset}")

@@ -18,11 +18,10 @@ SPELLINGS = [
     ("behaviour", "behavior"),
     ("fulfil ", "fulfill "),
     ("whilst", "while"),
-    ("non-commercial", "noncommercial"),
+    ("non commercial", "noncommercial"),
     ("merchantibility", "merchantability"),
     ("copyright holder", "copyright owner"),
-    ("https://", "http://"),
-    ("&", " and "),
+    ("https ", "http "),
 ]
 
 #: A line that only states whose work it is: the word or sign, then a sign, a year, "by" or a placeholder.
@@ -80,18 +79,23 @@ _OUT = ["doc_id", "unit", "line_no", "license", "digest"]
 
 
 def canonical(text: Column) -> Column:
-    """Text in lower case without copyright lines, with one spelling per word, and with one space for every run of
-    characters that are neither letters nor digits; line ends stay. Null gives an empty text."""
+    """Text in lower case without copyright lines, and with one space for every run of characters that are neither
+    letters nor digits; line ends stay. Null gives an empty text."""
     out = F.lower(F.coalesce(text, F.lit("")))
     for line in (COPYRIGHT_LINE, RIGHTS_LINE):
         out = F.regexp_replace(out, "(?md)" + line, "")
+    return F.regexp_replace(F.replace(out, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def spelled(body: Column) -> Column:
+    """Canonical text without line ends, with one spelling per word."""
     for variant, usual in SPELLINGS:
-        out = F.replace(out, F.lit(variant), F.lit(usual))
-    return F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
+        body = F.replace(body, F.lit(variant), F.lit(usual))
+    return F.trim(body)
 
 
 def _whole(canon: Column) -> Column:
-    return F.trim(F.regexp_replace(canon, r"[ \n]+", " "))
+    return spelled(F.regexp_replace(canon, r"[ \n]+", " "))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
@@ -118,7 +122,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     canon = docs.select("doc_id", canonical(F.col("text")).alias("canon"))
     lines = F.transform(
         F.split("canon", "\n"),
-        lambda line, n: F.struct(F.lit("line").alias("unit"), n.alias("line_no"), F.trim(line).alias("body")),
+        lambda line, n: F.struct(F.lit("line").alias("unit"), n.alias("line_no"), spelled(line).alias("body")),
     )
     whole = F.struct(F.lit("text").alias("unit"), F.lit(-1).alias("line_no"), _whole(F.col("canon")).alias("body"))
     units = canon.select("doc_id", F.explode(F.concat(F.array(whole), lines)).alias("u")).where("u.body <> ''")
@@ -136,12 +140,15 @@ def license_sql() -> str:
         out = f"lower(coalesce({column}, ''))"
         for line in (COPYRIGHT_LINE, RIGHTS_LINE):
             out = f"regexp_replace({out}, {quoted('(?m)' + line)}, '', 'g')"
+        return f"regexp_replace(replace({out}, '&', ' and '), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+
+    def spell(column: str) -> str:
         for variant, usual in SPELLINGS:
-            out = f"replace({out}, {quoted(variant)}, {quoted(usual)})"
-        return f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+            column = f"replace({column}, {quoted(variant)}, {quoted(usual)})"
+        return f"trim({column})"
 
     def whole(column: str) -> str:
-        return f"trim(regexp_replace({column}, '[ \\n]+', ' ', 'g'))"
+        return spell(f"regexp_replace({column}, '[ \\n]+', ' ', 'g')")
 
     rows = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)
     return f"""
@@ -156,7 +163,7 @@ with known as (
 ), units as (
   select doc_id, 'text' as unit, -1 as line_no, {whole('canon')} as body from canon
   union all
-  select doc_id, 'line', line_no, trim(body) from numbered
+  select doc_id, 'line', line_no, {spell('body')} from numbered
 )
 select u.doc_id, u.unit, cast(u.line_no as integer) as line_no, k.license, k.digest
 from units u join known k on sha256(u.body) = k.digest

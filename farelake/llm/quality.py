@@ -106,22 +106,23 @@ def _logit(p: Column) -> Column:
 
 
 def _strength(groups: DataFrame) -> float:
-    """Documents that the prior counts for: by moments, how far groups' means spread beyond their own noise."""
+    """Documents that the prior counts for: by moments, how far the means of groups spread within what they belong to,
+    beyond their own noise. ``n``, ``p``, ``pp``: count, sum and sum of squares of a group; ``all_n``, ``all_p``: of
+    what it belongs to."""
+    share = F.col("n") / F.col("all_n")
     row = groups.agg(
         F.sum("n").alias("n"),
-        F.sum("p").alias("p"),
         F.sum("pp").alias("pp"),
-        F.sum(F.col("p") * F.col("p") / F.col("n")).alias("between"),
-        F.sum(F.col("n") * F.col("n")).alias("nn"),
+        F.sum(F.col("p") * F.col("p") / F.col("n")).alias("own"),
+        F.sum(share * F.col("all_p") * F.col("all_p") / F.col("all_n")).alias("above"),
+        F.sum(share * F.col("n")).alias("nn"),
+        (F.count(F.lit(1)) - F.sum(share)).alias("free"),
         F.count(F.lit(1)).alias("k"),
     ).first()
-    if not row["n"] or row["k"] < 2:
+    if not row["n"] or row["free"] < 0.5 or row["n"] - row["nn"] < 1e-6:
         return 100.0
-    mean = row["p"] / row["n"]
-    within = max(row["pp"] - row["between"], 1e-9) / max(row["n"] - row["k"], 1)
-    spread = row["between"] - row["n"] * mean * mean - (row["k"] - 1) * within
-    scale = row["n"] - row["nn"] / row["n"]
-    variance = spread / scale if scale > 0 else 0.0
+    within = max(row["pp"] - row["own"], 1e-9) / max(row["n"] - row["k"], 1)
+    variance = (row["own"] - row["above"] - row["free"] * within) / (row["n"] - row["nn"])
     return float(min(max(within / variance if variance > 0 else 1e6, 1.0), 1e6))
 
 
@@ -144,12 +145,13 @@ def sites(scored: DataFrame) -> Sites:
     hosts = stored(paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "p", "pp")]), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("p").alias("p")).first()
     mean = min(max((total["p"] or 0.0) / max(total["n"] or 0, 1), 1e-3), 1 - 1e-3)
-    table = paths.select("host", "path", F.col("n").alias("path_n"), F.col("p").alias("path_p")).join(
-        hosts.select(F.col("host"), F.col("n").alias("host_n"), F.col("p").alias("host_p")), "host"
-    )
-    table = stored(table, "sites")
+    above = hosts.select("host", F.col("n").alias("host_n"), F.col("p").alias("host_p"))
+    table = paths.select("host", "path", "pp", F.col("n").alias("path_n"), F.col("p").alias("path_p"))
+    table = stored(table.join(shuffled(above), "host"), "sites")
     small = table.count() <= BROADCAST_SITES
-    return Sites(table, _strength(hosts), _strength(paths), mean, small)
+    of_all = hosts.select("n", "p", "pp", F.lit(total["n"]).alias("all_n"), F.lit(total["p"]).alias("all_p"))
+    of_host = table.selectExpr("path_n n", "path_p p", "pp", "host_n all_n", "host_p all_p")
+    return Sites(table.drop("pp"), _strength(of_all), _strength(of_host), mean, small)
 
 
 def posterior(scored: DataFrame, known: Sites, base: float) -> DataFrame:
