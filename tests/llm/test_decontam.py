@@ -1,0 +1,117 @@
+import re
+
+import pytest
+from cases import made, prose
+
+from farelake.llm import decontam, queries
+
+TERM = re.compile(r"[^\W_]+")
+
+
+def terms(text):
+    return TERM.findall((text or "").lower())
+
+
+def expected(rows, items, least=decontam.LEAST, stretch=decontam.STRETCH):
+    """Brute force over every alignment: (id, item) with the best similarity."""
+    out = {}
+    for i, text in set(rows):
+        w = terms(text)
+        for item, body in items:
+            iw = terms(body)
+            if len(iw) < 5:
+                continue
+            n = min(len(iw), stretch)
+            best = 0
+            for start in range(-len(iw) + 1, len(w)):
+                eq = [0 <= start + q < len(w) and w[start + q] == iw[q] for q in range(len(iw))]
+                if sum(eq) >= least * n:
+                    best = max(best, max(sum(eq[s : s + n]) for s in range(len(iw) - n + 1)) / n)
+            if best >= least:
+                out[(i, item)] = max(best, out.get((i, item), 0))
+    return out
+
+
+ITEM = "what is the tallest mountain on the southern island and how high does it rise above the sea"
+LONG = prose(77, words=60)
+
+
+def cases():
+    words = ITEM.split()
+    fifth = [w if k % 5 else "other" for k, w in enumerate(words)]
+    fifth[0] = words[0]
+    return [
+        (1, prose(5) + "\n" + ITEM.upper() + "!\n" + prose(6)),
+        (2, prose(7) + " " + " ".join(fifth) + " " + prose(8)),
+        (3, " ".join(words[:9]) + " " + prose(9)),
+        (4, prose(10) + " " + " ".join(LONG.split()[15:45])),
+        (5, ITEM),
+        (6, None),
+        (6, ""),
+        (7, "the and of in"),
+        (None, "x " + ITEM + " y"),
+        (8, ITEM),
+        (8, ITEM),
+        (9, " ".join(words[:16]) + " cut off"),
+        (10, (prose(11, words=20_000) + " " + ITEM + " ") * 2),
+    ]
+
+
+ITEMS = [(1, ITEM), (2, LONG), (3, "too short here"), (4, None), (5, ""), (2, ITEM), (None, "a null id has five words at least")]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in ITEMS], "item_id long, text string, doc_id string, w string")
+
+
+def found(spark, items, rows):
+    got = {}
+    for r in decontam.overlaps(made(spark, rows), items).collect():
+        assert (r.doc_id, r.item_id) not in got
+        got[(r.doc_id, r.item_id)] = r.similarity
+    return got
+
+
+def test_brute_force(spark, items):
+    rows = cases()
+    want = expected(rows, ITEMS)
+    got = found(spark, items, rows)
+    assert {k: pytest.approx(v) for k, v in want.items()} == got
+    assert {(1, 1), (2, 1), (4, 2), (5, 1), (9, 1), (None, 1), (10, 1)} <= set(got)
+    assert not {3, 6, 7} & {i for i, _ in got}
+
+
+def test_blocks_change_nothing(spark, items, monkeypatch):
+    whole = found(spark, items, cases())
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 40)
+    assert found(spark, items, cases()) == whole
+
+
+def test_every_substitution_of_a_fifth_is_found(spark, items):
+    words = ITEM.split()
+    rows = []
+    for offset in range(5):
+        for period in (5, 6, 7):
+            rows.append((len(rows), " ".join("zzz" if k % period == offset else w for k, w in enumerate(words))))
+    want = {k for k, v in expected(rows, ITEMS).items()}
+    assert {i for i, _ in found(spark, items, rows)} == {i for i, _ in want}
+
+
+def test_dropping(spark, items, edge, empty):
+    docs = made(spark, cases())
+    left = decontam.drop_contaminated(docs, items)
+    assert set(left.columns) == set(docs.columns)
+    assert sorted(r.doc_id for r in left.collect()) == [3, 6, 6, 7]
+    assert decontam.drop_contaminated(edge, items).count() == edge.count()
+    assert decontam.drop_contaminated(empty, items).count() == 0
+    assert decontam.drop_contaminated(docs, items.limit(0)).count() == docs.count()
+
+
+def test_query(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    texts = {i: f" {' '.join(terms(t))} " for i, t in rows}
+    whole = {(i, item) for i, t in texts.items() for item, body in items if f" {' '.join(terms(body))} " in t}
+    got = {(r.doc_id, r.item_id) for r in queries.decontamination(spark, small).collect()}
+    assert whole and whole <= got

@@ -1,0 +1,89 @@
+import numpy as np
+import pytest
+from cases import CLASHING, prose
+from pyspark.sql import functions as F
+
+from farelake.llm import quality, queries
+from farelake.llm.logistic import fit, sigmoid
+
+
+def docs_of(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame([(*r, *["x"] * len(CLASHING)) for r in rows], schema)
+
+
+def junk(seed):
+    return " ".join(f"{w}%%%" for w in prose(seed, 60).split())
+
+
+def corpus(n=300):
+    rows = [(i, junk(i) if i % 4 == 0 else prose(i, 80), "en", f"host{i % 3}/dir{i % 2}") for i in range(n)]
+    return rows, [(i, int(i % 4 != 0)) for i in range(0, n, 2)]
+
+
+def test_rejects_junk_and_keeps_the_rest(spark, edge_rows):
+    rows, labels = corpus()
+    more = [(10_000 + k, t, None if k % 2 else "en", None if k % 3 else "h/p") for k, (_, t) in enumerate(edge_rows)]
+    docs = docs_of(spark, rows + more)
+    labelled = spark.createDataFrame([*labels, (5, None), (999_999, 1), (0, 0)], "doc_id long, quality int")
+    graded = quality.grade(docs, labelled)
+    assert set(docs.columns) <= set(graded.columns) | {"host", "kept"}
+    out = {r.doc_id: r for r in graded.collect()}
+    assert len(out) == len(rows) + len(more)
+    for i, *_ in rows:
+        assert out[i].kept == (i % 4 != 0)
+    assert all(0 <= r.probability <= 1 for r in out.values())
+
+
+def test_without_labels_all_stay(spark):
+    rows, _ = corpus(40)
+    graded = quality.grade(docs_of(spark, rows), spark.createDataFrame([], "doc_id long, quality int"))
+    assert graded.where("kept").count() == 40
+
+
+def test_empty(spark):
+    graded = quality.grade(docs_of(spark, []), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert graded.count() == 0
+
+
+def test_posteriors_by_brute_force(spark):
+    r = np.random.default_rng(3)
+    rows = [
+        (f"h{i % 4}", f"p{i % 7}", float(r.normal(2.0 if i % 4 else -2.0, 1.0))) for i in range(500)
+    ] + [("rare", "rare", 1.0)]
+    scored = spark.createDataFrame(rows, "host string, path string, logit double")
+    known = quality.sites(scored)
+    got = [(x.host, x.path, round(x.logit, 9), round(x.probability, 9)) for x in quality.posterior(scored, known, 0.6).collect()]
+    p = sigmoid(np.array([x[2] for x in rows]))
+    a, b = known.host_strength, known.path_strength
+    want = []
+    for i, (host, path, logit) in enumerate(rows):
+        others = [j for j in range(len(rows)) if j != i]
+        at_host = [p[j] for j in others if rows[j][0] == host]
+        at_path = [p[j] for j in others if rows[j][:2] == (host, path)]
+        prior = (a * known.mean + sum(at_host)) / (a + len(at_host))
+        rate = min(max((b * prior + sum(at_path)) / (b + len(at_path)), 1e-3), 1 - 1e-3)
+        odds = logit - np.log(0.6 / 0.4) + np.log(rate / (1 - rate))
+        want.append((host, path, round(logit, 9), round(float(1 / (1 + np.exp(-odds))), 9)))
+    for have, expected in zip(sorted(got), sorted(want), strict=True):
+        assert have[:2] == expected[:2] and have[2:] == pytest.approx(expected[2:])
+    # Hosts differ, so their own rates count; all paths of a host are alike, so paths are drawn to their host.
+    assert known.host_strength < 20 < known.path_strength
+
+
+def test_logistic_regression_finds_the_minimum():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(2000, 4))
+    x = np.column_stack([x, x[:, 0]])
+    y = (r.random(2000) < sigmoid(x @ np.array([1.0, -2.0, 0.5, 0.0, 1.0]) - 1.0)).astype(float)
+    w, b = fit(x, y, ridge=0.1)
+    slope = x.T @ (sigmoid(x @ w + b) - y) + 0.1 * w
+    assert np.abs(slope).max() < 1e-2
+    w, _ = fit(x, y, ridge=0.1, positive=True)
+    assert (w >= 0).all() and w[1] == 0 and w[0] > 0.5
+
+
+def test_query(spark, small):
+    graded = queries.quality_grades(spark, small).join(spark.read.parquet(f"{small}/labels.parquet"), "doc_id")
+    row = graded.agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("double"))).first()
+    assert row[0] > 0.95
