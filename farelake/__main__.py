@@ -6,12 +6,13 @@ import argparse
 import json
 from pathlib import Path
 
-from farelake.plans.batch import export_tables, run_batch
+from farelake.plans.batch import export_tables, run_batch, run_marts_from_database
 from farelake.plans.stream import StreamTargets, run_replay, run_stream
 from farelake.session import build_session
 from farelake.sinks.streams import land_partitioned, land_text
 from farelake.sources.envelope import decode_envelope
 from farelake.sources.files import read_zones, replay_trips
+from farelake.sources.jdbc import read_table
 from farelake.sources.kafka import read_kafka
 
 
@@ -24,7 +25,6 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--trips", required=True)
     batch.add_argument("--zones", required=True)
     batch.add_argument("--root", required=True)
-    batch.add_argument("--row-limit", type=int)
     batch.add_argument("--calendar", choices=["derive", "join"], default="derive")
     batch.add_argument("--by-month", action="store_true", help="store the fact in a folder per pickup month")
 
@@ -35,27 +35,47 @@ def _parser() -> argparse.ArgumentParser:
     export.add_argument("--prefix", default="", help="put before each table name, such as a database and a dot")
     export.add_argument("--engine", default="MergeTree")
     export.add_argument("--connections", type=int)
+    export.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
 
-    def topic(job: argparse.ArgumentParser) -> None:
+    marts = jobs.add_parser("marts", help="star schema in a database -> marts")
+    marts.add_argument("--url", required=True)
+    marts.add_argument("--properties", required=True, help="JSON file with user, password and driver")
+    marts.add_argument("--prefix", default="")
+    marts.add_argument("--partitions", type=int, default=8, help="parallel reads of the large tables")
+    marts.add_argument("--root", required=True)
+
+    def topic(job: argparse.ArgumentParser, reads: bool = True) -> None:
         job.add_argument("--servers", required=True)
         job.add_argument("--topic", required=True)
         job.add_argument("--checkpoints", required=True)
-        job.add_argument("--starting-offsets", default="latest")
+        if reads:
+            job.add_argument("--starting-offsets", default="latest")
 
     stream = jobs.add_parser("stream", help="topic -> enriched rows and window counts")
     topic(stream)
     stream.add_argument("--avro-schema", required=True, help="file with the record schema")
     stream.add_argument("--mode", choices=["FAILFAST", "PERMISSIVE"], default="FAILFAST")
-    stream.add_argument("--zones", required=True)
+    zones = stream.add_mutually_exclusive_group(required=True)
+    zones.add_argument("--zones", help="CSV file")
+    zones.add_argument("--zones-url", help="database with the location table")
+    stream.add_argument("--zones-table", default="dim_location")
+    stream.add_argument("--zones-properties", help="JSON file with user, password and driver")
     stream.add_argument("--enriched", required=True)
     stream.add_argument("--counts", required=True)
     stream.add_argument("--output-mode", choices=["complete", "update", "append"], default="complete")
     stream.add_argument("--interval", default="10 seconds")
+    stream.add_argument("--watermark", default="30 minutes")
+    stream.add_argument("--width", default="10 minutes")
+    stream.add_argument("--documents", help="URI of a document store that gets both outputs instead of files")
+    stream.add_argument("--database", help="its database; --enriched and --counts then name collections")
 
     replay = jobs.add_parser("replay", help="trip files -> topic")
-    topic(replay)
+    topic(replay, reads=False)
     replay.add_argument("--trips", required=True)
     replay.add_argument("--schema-id", type=int, required=True)
+    replay.add_argument("--avro-schema", help="file with the record schema that the id stands for")
+    replay.add_argument("--version", type=int, choices=[1, 2], default=2, help="message version")
+    replay.add_argument("--partitions", type=int, help="writers at most")
     replay.add_argument("--max-files", type=int)
     replay.add_argument("--max-bytes", type=int)
     replay.add_argument("--oldest-first", action="store_true")
@@ -75,22 +95,42 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"farelake-{args.job}", args.time_zone)
     if args.job == "batch":
-        run = run_batch(spark, args.trips, args.zones, args.root, args.row_limit, args.calendar, args.by_month)
+        run = run_batch(spark, args.trips, args.zones, args.root, args.calendar, args.by_month)
         run.summary.show(truncate=False)
         return
     if args.job == "export":
         properties = json.loads(Path(args.properties).read_text())
         export_tables(
-            spark, args.root, args.url, properties, args.prefix, engine=args.engine, connections=args.connections
+            spark,
+            args.root,
+            args.url,
+            properties,
+            args.prefix,
+            engine=args.engine,
+            connections=args.connections,
+            mode=args.mode,
         )
         return
+    if args.job == "marts":
+        properties = json.loads(Path(args.properties).read_text())
+        run = run_marts_from_database(spark, args.url, properties, args.root, args.prefix, args.partitions)
+        run.summary.show(truncate=False)
+        return
     if args.job == "replay":
         files = args.max_files if args.max_files or args.max_bytes else 1
         trips = replay_trips(
             spark, args.trips, max_files=files, max_bytes=args.max_bytes, latest_first=not args.oldest_first
         )
         run_replay(
-            trips, args.servers, args.topic, args.schema_id, args.checkpoints, args.interval
+            trips,
+            args.servers,
+            args.topic,
+            args.schema_id,
+            args.checkpoints,
+            args.interval,
+            args.partitions,
+            args.version,
+            Path(args.avro_schema).read_text() if args.avro_schema else None,
         ).awaitTermination()
         return
     messages = read_kafka(spark, args.servers, args.topic, args.starting_offsets)
@@ -103,8 +143,24 @@ def main(argv: list[str] | None = None) -> None:
             trips, args.path, args.checkpoints, args.interval, args.max_records, args.unordered
         ).awaitTermination()
         return
+    if args.zones_url:
+        properties = json.loads(Path(args.zones_properties).read_text()) if args.zones_properties else {}
+        # The location ids that the reference table holds, read in eight ranges.
+        zones = read_table(spark, args.zones_url, args.zones_table, properties, "location_id", 1, 265, 8)
+    else:
+        zones = read_zones(spark, args.zones)
     targets = StreamTargets(args.enriched, args.counts, args.checkpoints)
-    run_stream(trips, read_zones(spark, args.zones), targets, args.output_mode, args.interval)
+    documents = (args.documents, args.database) if args.documents else None
+    run_stream(
+        trips,
+        zones,
+        targets,
+        args.output_mode,
+        args.interval,
+        width=args.width,
+        watermark=args.watermark,
+        documents=documents,
+    )
 
 
 if __name__ == "__main__":

@@ -43,11 +43,16 @@ def conform_trips(df: DataFrame) -> DataFrame:
 
     def conformed(field: T.StructField) -> Column:
         column = F.col(field.name)
-        kind = next(f.dataType for f in df.schema if f.name.lower() == field.name.lower())
+        kind = next((f.dataType for f in df.schema if f.name.lower() == field.name.lower()), None)
+        if kind is None:
+            raise ValueError(f"trips have no column {field.name!r}")
         if isinstance(field.dataType, T.TimestampType):
             if isinstance(kind, T.StringType):
                 column = F.to_timestamp(column)
         elif kind != field.dataType:
+            if isinstance(kind, T.FloatType):
+                # By way of its shortest text: 12.34 stays 12.34, where widening the bits gives 12.3400001525...
+                column = column.cast("string")
             column = column.cast(field.dataType)
         return column.alias(field.name)
 
@@ -89,5 +94,7 @@ def clean_trips(df: DataFrame) -> DataFrame:
         {
             "RatecodeID": repair_code("RatecodeID", RATE_CODES, UNKNOWN_RATE),
             "payment_type": repair_code("payment_type", PAYMENT_TYPES, UNKNOWN_PAYMENT),
+            # Only NULL is filled; fillna would turn NaN into 0 as well.
+            **{name: F.coalesce(F.col(name), F.lit(0.0)) for name in ZERO_IF_NULL},
         }
-    ).fillna(0, subset=ZERO_IF_NULL)
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.calendar import calendar, seconds_between
 from farelake.operators.clean import UNKNOWN_RATE
-from farelake.operators.joins import broadcast_if_small
+from farelake.operators.joins import distinct_keys
 from farelake.schemas import DIM_PAYMENT, DIM_RATECODE, DIM_VENDOR, FACT_TRIP
 from farelake.sources.static import static_dim
 
@@ -90,16 +90,14 @@ def fact_trip(
     """Cleansed trips -> fact rows: each key is the dimension's key, NULL where none matches.
 
     The time dimension holds exactly the trips' own timestamps, so a timestamp is its own key and needs
-    no join. Pass ``times`` to join a stored time dimension all the same: two shuffles of the fact.
+    no join. Pass ``times`` to join a stored time dimension all the same: two shuffles of the fact. Stored,
+    because AQE splits a hot second only where nothing but the shuffle stands between table and join.
 
-    Keys are made distinct first. A repeated lookup row then cannot multiply trips, and Spark leaves out
-    the joins whose keys a query does not use.
+    Keys of broadcast lookups are made distinct first. A repeated row then cannot multiply trips, and Spark
+    leaves out the joins whose keys a query does not use.
     """
-
-    def keys(dim: DataFrame, column: str, role: str) -> DataFrame:
-        return broadcast_if_small(dim).select(F.col(column).alias(role)).distinct()
-
-    zones = broadcast_if_small(locations).select("location_id").distinct()
+    keys = distinct_keys
+    zones = keys(locations, "location_id", "location_id")
     # The codes are cast, not the lookup keys: Spark must see the bare distinct key to leave out a join.
     vendor, rate, payment = (F.col(c).cast("int") for c in ("VendorID", "RatecodeID", "payment_type"))
     joined = (

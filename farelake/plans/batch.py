@@ -14,9 +14,11 @@ from farelake.schemas import MART_TABLES, SORT_KEYS, STAR_TABLES
 from farelake.sinks.jdbc import write_table
 from farelake.sinks.tables import read_star_or_mart, run_summary, table_path, write_parquet, write_star_or_mart
 from farelake.sources.files import read_trips, read_zones
-from farelake.sources.jdbc import read_table, require_jdbc
+from farelake.sources.jdbc import read_span, read_table, require_jdbc
 
 FACT_FOLDER = "pickup_month"
+# The tables that grow with the trips, and the time that splits them evenly.
+TIME_COLUMNS = {"fact_trip": "created_at_sk", "dim_time": "timestamp_id"}
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,7 @@ def build_star(
     }
     for name, table in lookups.items():
         write_star_or_mart(table.hint("rebalance"), root, name)
+        require_unique(read_star_or_mart(spark, root, name), name)
     lookups = {name: read_star_or_mart(spark, root, name) for name in lookups}
 
     times = None
@@ -79,25 +82,38 @@ def database_star(
     url: str,
     properties: dict[str, str],
     prefix: str = "",
-    fact_rows: int | None = None,
     partitions: int = 1,
 ) -> dict[str, DataFrame]:
     """The dimensions and the fact from a database.
 
-    With more than one partition the fact is read in that many ranges of its surrogate key, of which
-    ``fact_rows`` is the upper end.
+    With more than one partition the fact and the time dimension, which grow with the trips, are read in that
+    many ranges of time between the first and the last one stored.
     """
     star_tables = {name: read_table(spark, url, prefix + name, properties) for name in STAR_TABLES}
-    if partitions > 1:
-        split = ("fact_trip_sk", 0, fact_rows, partitions)
-        star_tables["fact_trip"] = read_table(spark, url, f"{prefix}fact_trip", properties, *split)
+    for name, column in TIME_COLUMNS.items() if partitions > 1 else ():
+        span = read_span(spark, url, prefix + name, properties, column)
+        if span is not None:
+            split = (column, *span, partitions)
+            star_tables[name] = read_table(spark, url, prefix + name, properties, *split)
     return star_tables
 
 
+def require_unique(table: DataFrame, name: str) -> None:
+    """Refuse a lookup whose key repeats: it would multiply trips where names are joined to them."""
+    key = SORT_KEYS[name][0]
+    twice = table.groupBy(key).count().where("count > 1").head()
+    if twice is not None:
+        raise ValueError(f"{name}: {key} {twice[0]!r} occurs {twice[1]} times")
+
+
 def build_marts(
-    spark: SparkSession, root: str, calendar: str = "derive", tables: dict[str, DataFrame] | None = None
+    spark: SparkSession,
+    root: str,
+    calendar: str = "derive",
+    tables: dict[str, DataFrame] | None = None,
+    names: Sequence[str] = tuple(MART_TABLES),
 ) -> None:
-    """Store the two roll-ups of the fact, then the eight marts derived from them.
+    """Store the two roll-ups of the fact, then the marts derived from them, all eight unless named.
 
     ``tables`` is the star schema to read, by default the one stored under ``root``.
     """
@@ -109,8 +125,9 @@ def build_marts(
         write_parquet(rollup, table_path(root, name))
     stored = [spark.read.parquet(table_path(root, name)) for name in rollups]
     lookups = [tables[name] for name in ("dim_vendor", "dim_payment", "dim_location")]
-    for name, mart in marts.all_marts(*stored, *lookups).items():
-        write_star_or_mart(mart, root, name)
+    found = marts.all_marts(*stored, *lookups)
+    for name in names:
+        write_star_or_mart(found[name], root, name)
 
 
 def run_batch_on(
@@ -132,15 +149,23 @@ def run_batch(
     trips_path: str,
     zones_path: str,
     root: str,
-    row_limit: int | None = None,
     calendar: str = "derive",
     by_month: bool = False,
 ) -> BatchRun:
     """The whole batch layer from trip files and the zone CSV."""
-    trips = read_trips(spark, trips_path, row_limit)
+    trips = read_trips(spark, trips_path)
     return run_batch_on(spark, trips, read_zones(spark, zones_path), root, calendar, by_month)
 
 
+def run_marts_from_database(
+    spark: SparkSession, url: str, properties: dict[str, str], root: str, prefix: str = "", partitions: int = 8
+) -> BatchRun:
+    """The marts from a star schema that a database holds."""
+    require_jdbc(spark, url, properties)
+    build_marts(spark, root, tables=database_star(spark, url, properties, prefix, partitions))
+    return BatchRun(root, run_summary(spark, root, list(MART_TABLES)))
+
+
 def export_tables(
     spark: SparkSession,
     root: str,
@@ -150,9 +175,11 @@ def export_tables(
     names: Sequence[str] = (*STAR_TABLES, *MART_TABLES),
     engine: str | None = "MergeTree",
     connections: int | None = None,
+    mode: str = "overwrite",
 ) -> None:
-    """Replace the rows of the database's tables with the stored ones, after checking that it answers."""
+    """Write the stored tables to the database's, after checking that it answers: in place of their rows, or with
+    ``mode="append"`` into tables that the caller has emptied, where Spark can't empty them without dropping them."""
     require_jdbc(spark, url, properties)
     for name in names:
         rows = read_star_or_mart(spark, root, name)
-        write_table(rows, url, prefix + name, properties, SORT_KEYS[name], "overwrite", engine, connections)
+        write_table(rows, url, prefix + name, properties, SORT_KEYS[name], mode, engine, connections)

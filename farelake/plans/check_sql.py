@@ -18,8 +18,8 @@ TRIPS = """
 trips AS (
   SELECT
     nullif(l_linenumber % 4, 3) AS VendorID,
-    CASE WHEN l_orderkey % 101 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399) END AS tpep_pickup_datetime,
-    CASE WHEN l_partkey % 103 <> 0 THEN l_shipdate + to_seconds(l_orderkey % 86399 + l_partkey % 3607 - 60) END
+    CASE WHEN l_orderkey % 101 <> 0 THEN l_shipdate + to_seconds(l_orderkey * 7919 % 86399) END AS tpep_pickup_datetime,
+    CASE WHEN l_partkey % 103 <> 0 THEN l_shipdate + to_seconds(l_orderkey * 7919 % 86399 + l_partkey % 3607 - 60) END
       AS tpep_dropoff_datetime,
     nullif(l_suppkey % 7, 6) AS passenger_count,
     CAST(l_partkey % 2500 AS DOUBLE) / 100 AS trip_distance,
@@ -30,14 +30,14 @@ trips AS (
     nullif(l_suppkey % 9, 8) AS payment_type,
     l_quantity - 1 AS fare_amount,
     nullif(l_discount, 0.05::DOUBLE) AS extra,
-    l_tax AS mta_tax,
+    nullif(l_tax, 0.08::DOUBLE) AS mta_tax,
     nullif(l_quantity, 7::DOUBLE) AS tip_amount,
-    l_discount AS tolls_amount,
+    nullif(l_discount, 0.1::DOUBLE) AS tolls_amount,
     nullif(l_tax, 0::DOUBLE) AS improvement_surcharge,
     CASE WHEN l_orderkey % 59 <> 0 THEN l_extendedprice ELSE 0 END AS total_amount,
-    l_tax AS congestion_surcharge,
-    l_discount AS Airport_fee,
-    l_discount AS cbd_congestion_fee
+    nullif(l_tax, 0.02::DOUBLE) AS congestion_surcharge,
+    nullif(l_discount, 0.07::DOUBLE) AS Airport_fee,
+    nullif(l_discount, 0.01::DOUBLE) AS cbd_congestion_fee
   FROM lineitem
 )"""
 
@@ -264,6 +264,22 @@ GROUP BY w
 ENRICHED = "enriched AS (SELECT * FROM trips JOIN dim_location ON PULocationID = location_id)"
 _SPEED = _with(TRIPS, LOCATIONS, ENRICHED)
 _EVENT_WINDOWS = _windows("events", "ts")
+LATE = """
+WITH b AS (
+  SELECT event_id % 4 AS batch, ts, time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS w
+  FROM events WHERE ts IS NOT NULL
+), tops AS (
+  SELECT batch, max(ts) AS top FROM b GROUP BY batch
+), marks AS (
+  SELECT c.batch, max(t.top) - INTERVAL '30 minutes' AS mark
+  FROM tops c LEFT JOIN tops t ON t.batch <= c.batch - 2 GROUP BY c.batch
+)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(w + INTERVAL '10 minutes', '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS trip_count
+FROM b JOIN marks USING (batch)
+WHERE mark IS NULL OR w + INTERVAL '10 minutes' > mark
+GROUP BY w
+"""
 _KEY = "concat_ws(':', VendorID, strftime(tpep_pickup_datetime, '%Y-%m-%d'))"
 
 ORACLE: dict[str, str] = {
@@ -299,6 +315,7 @@ GROUP BY ALL
     "event_window_counts": _EVENT_WINDOWS,
     "stream_window_counts": _EVENT_WINDOWS,
     "stream_window_counts_update": _EVENT_WINDOWS,
+    "stream_late_counts": LATE,
     "stream_enriched": _SPEED + "SELECT * FROM enriched",
     "serve_total": _SPEED + "SELECT count(*) AS num_trip FROM enriched",
     "serve_window_series": _with(TRIPS)
@@ -329,15 +346,12 @@ GROUP BY 1
 """,
     "landed_days": _with(TRIPS)
     + """
-SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
-  CAST(day(tpep_pickup_datetime) AS INTEGER) AS day, count(*) AS trips
+SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
+  CAST(day(tpep_pickup_datetime) AS INTEGER) AS day
 FROM trips
-GROUP BY 1, 2, 3
-""",
-    "landed_text": """
-SELECT event_type, count(*) AS lines,
-  CAST(sum(event_id) AS BIGINT) AS event_ids, CAST(sum(user_id) AS BIGINT) AS user_ids
-FROM events
-GROUP BY event_type
 """,
+    "landed_text": "SELECT concat_ws('|', event_id, event_type, user_id) AS value FROM events",
+    "stored_fact_trip": _STAR + "SELECT * FROM fact",
+    "stored_dim_time": _with(TRIPS, CLEAN, TIMES) + "SELECT * FROM dim_time",
+    **{f"stored_{name}": _STAR + sql for name, sql in _STORED.items() if name.startswith("agg_")},
 }

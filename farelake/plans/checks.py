@@ -11,11 +11,12 @@ from farelake.functions.keys import epoch_millis, trip_key
 from farelake.operators import marts, star
 from farelake.operators.clean import clean_trips, conform_trips
 from farelake.plans import serving
-from farelake.plans.batch import run_batch_on
+from farelake.plans.batch import build_marts, build_star, run_batch_on
 from farelake.plans.stream import StreamTargets, run_stream, start_window_counts
-from farelake.schemas import TRIP_V2
+from farelake.schemas import MART_TABLES, TRIP_V2
 from farelake.session import scratch_path, zoned_session
 from farelake.sinks.streams import land_partitioned, land_text, publish_batches
+from farelake.sinks.tables import read_star_or_mart, write_star_or_mart
 from farelake.sinks.upsert import read_upserted, upsert_batches
 from farelake.sources.envelope import decode_envelope
 from farelake.sources.files import replay_trips
@@ -68,8 +69,15 @@ def fact_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir).drop("fact_trip_sk")
 
 
+def stored_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time dimension, stored and read back."""
+    root = scratch_path(spark, "times")
+    write_star_or_mart(times_of(spark, sf_dir), root, "dim_time")
+    return read_star_or_mart(spark, root, "dim_time")
+
+
 def fact_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact(spark, sf_dir, times_of(spark, sf_dir)).drop("fact_trip_sk")
+    return fact(spark, sf_dir, stored_times(spark, sf_dir)).drop("fact_trip_sk")
 
 
 def lookup_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +118,14 @@ def event_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_counts(spark: SparkSession, sf_dir: str, output_mode: str) -> DataFrame:
+    """Window counts of a replay from its first file to its last: no row is late, in however many batches."""
     session = zoned_session(spark, ZONE)
     work = scratch_path(session, "counts")
-    write = upsert_batches(f"{work}/table", WINDOW_KEYS)
+    write = upsert_batches(f"{work}/table", WINDOW_KEYS, whole=output_mode == "complete")
     events = stream_of(session, sf_dir, "events")
-    start_window_counts(events, f"{work}/checkpoint", write, output_mode, event_time="ts").awaitTermination()
+    start_window_counts(
+        events, f"{work}/checkpoint", write, output_mode, event_time="ts", watermark=None
+    ).awaitTermination()
     return read_upserted(session, f"{work}/table").select("window_start", "window_end", "trip_count")
 
 
@@ -126,21 +137,36 @@ def stream_window_counts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_counts(spark, sf_dir, "update")
 
 
-_streamed: dict[tuple[str, str], StreamTargets] = {}
+LATE_BATCHES, LATE_FILES = 4, 8
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts in update mode with a watermark, over four batches that each span all times.
+
+    Spark tests the rows of a batch with the watermark that the batch before it started with, so the first two batches
+    count whole and the later ones only in windows that end after the watermark.
+    """
+    session = zoned_session(spark, ZONE)
+    work = scratch_path(session, "late")
+    events = table(session, sf_dir, "events")
+    for batch in range(LATE_BATCHES):
+        rows = events.where(F.pmod("event_id", F.lit(LATE_BATCHES)) == batch)
+        rows.repartition(LATE_FILES).write.mode("append").parquet(f"{work}/in")
+    stream = replay_trips(session, f"{work}/in", events.schema, max_files=LATE_FILES, latest_first=False)
+    write = upsert_batches(f"{work}/table", WINDOW_KEYS)
+    start_window_counts(stream, f"{work}/checkpoint", write, "update", event_time="ts").awaitTermination()
+    return read_upserted(session, f"{work}/table").select("window_start", "window_end", "trip_count")
 
 
 def _speed_layer(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, StreamTargets]:
-    """Outputs of the speed layer over the raw trips; run once per application and data set."""
+    """Outputs of the speed layer over the raw trips, run anew for each query."""
     session = zoned_session(spark, ZONE)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _streamed:
-        work = scratch_path(session, "speed")
-        targets = StreamTargets(f"{work}/enriched", f"{work}/counts", f"{work}/checkpoints")
-        trips = trips_from_lineitem(stream_of(session, sf_dir, "lineitem"))
-        run_stream(trips, locations(session, sf_dir), targets)
-        _streamed[key] = targets
-    serving.register_views(session, _streamed[key].enriched, _streamed[key].counts)
-    return session, _streamed[key]
+    work = scratch_path(session, "speed")
+    targets = StreamTargets(f"{work}/enriched", f"{work}/counts", f"{work}/checkpoints")
+    trips = trips_from_lineitem(stream_of(session, sf_dir, "lineitem"))
+    run_stream(trips, locations(session, sf_dir), targets)
+    serving.register_views(session, targets.enriched, targets.counts)
+    return session, targets
 
 
 def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,32 +179,23 @@ def _served(query: Callable[[SparkSession], DataFrame]) -> Query:
 
 
 def landed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips landed under year, month and day of pickup, read back per folder."""
+    """Raw trips landed under year, month and day of pickup, read back whole with their folders."""
     session = zoned_session(spark, ZONE)
     work = scratch_path(session, "landed")
     trips = trips_from_lineitem(stream_of(session, sf_dir, "lineitem"))
     # The test trips are in no order of time.
     land_partitioned(trips, f"{work}/trips", f"{work}/checkpoint", None, unordered=True).awaitTermination()
-    return session.read.parquet(f"{work}/trips").groupBy("year", "month", "day").agg(F.count("*").alias("trips"))
+    return session.read.parquet(f"{work}/trips")
 
 
 def landed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed as text lines, read back and counted per type."""
+    """Events landed as text lines, read back line by line."""
     session = zoned_session(spark, ZONE)
     work = scratch_path(session, "text")
     events = stream_of(session, sf_dir, "events")
     lines = events.select(F.concat_ws("|", "event_id", "event_type", "user_id").alias("value"))
     land_text(lines, f"{work}/lines", f"{work}/checkpoint", interval=None).awaitTermination()
-    parts = F.split("value", r"\|")
-    return (
-        session.read.text(f"{work}/lines")
-        .groupBy(F.get(parts, 1).alias("event_type"))
-        .agg(
-            F.count("*").alias("lines"),
-            F.sum(F.get(parts, 0).cast("bigint")).alias("event_ids"),
-            F.sum(F.get(parts, 2).cast("bigint")).alias("user_ids"),
-        )
-    )
+    return session.read.text(f"{work}/lines")
 
 
 def _json_record(record: Column, schema: str) -> Column:
@@ -220,6 +237,19 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_batch_on(spark, raw_trips(spark, sf_dir), locations(spark, sf_dir), root).summary
 
 
+def _stored(name: str) -> Query:
+    """A table as the batch job stores it, read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "warehouse")
+        build_star(spark, raw_trips(spark, sf_dir), locations(spark, sf_dir), root)
+        if name in MART_TABLES:
+            build_marts(spark, root, names=[name])
+        return read_star_or_mart(spark, root, name).drop("fact_trip_sk")
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "clean_trips": cleansed,
     "dim_time": times_of,
@@ -235,19 +265,20 @@ QUERIES: dict[str, Query] = {
     "mart_payment_analysis": lambda s, d: marts.payment_analysis(fact(s, d), star.dim_payment(s)),
     "mart_popular_routes": lambda s, d: marts.popular_routes(fact(s, d), locations(s, d)),
     "mart_revenue_breakdown": lambda s, d: marts.revenue_breakdown(fact(s, d)),
-    "mart_daily_trips_star_join": lambda s, d: marts.daily_trips(fact(s, d), times_of(s, d)),
-    "mart_hourly_patterns_star_join": lambda s, d: marts.hourly_patterns(fact(s, d), times_of(s, d)),
+    "mart_daily_trips_star_join": lambda s, d: marts.daily_trips(fact(s, d), stored_times(s, d)),
+    "mart_hourly_patterns_star_join": lambda s, d: marts.hourly_patterns(fact(s, d), stored_times(s, d)),
     "mart_vendor_performance_star_join": lambda s, d: marts.vendor_performance(
-        fact(s, d), star.dim_vendor(s), times_of(s, d)
+        fact(s, d), star.dim_vendor(s), stored_times(s, d)
     ),
     "mart_payment_analysis_star_join": lambda s, d: marts.payment_analysis(
-        fact(s, d), star.dim_payment(s), times_of(s, d)
+        fact(s, d), star.dim_payment(s), stored_times(s, d)
     ),
-    "mart_revenue_breakdown_star_join": lambda s, d: marts.revenue_breakdown(fact(s, d), times_of(s, d)),
+    "mart_revenue_breakdown_star_join": lambda s, d: marts.revenue_breakdown(fact(s, d), stored_times(s, d)),
     "batch_summary": batch_summary,
     "event_window_counts": event_window_counts,
     "stream_window_counts": stream_window_counts,
     "stream_window_counts_update": stream_window_counts_update,
+    "stream_late_counts": stream_late_counts,
     "stream_enriched": stream_enriched,
     "serve_total": _served(serving.total_trips),
     "serve_window_series": _served(serving.window_series),
@@ -258,4 +289,7 @@ QUERIES: dict[str, Query] = {
     "replayed_messages": replayed_messages,
     "landed_days": landed_days,
     "landed_text": landed_text,
+    "stored_fact_trip": _stored("fact_trip"),
+    "stored_dim_time": _stored("dim_time"),
+    **{f"stored_{name}": _stored(name) for name in MART_TABLES},
 }

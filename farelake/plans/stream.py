@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from farelake.operators.clean import conform_trips
 from farelake.sinks.streams import append_stream, publish_batches, triggered
-from farelake.sinks.upsert import upsert_batches
+from farelake.sinks.upsert import document_options, upsert_batches, upsert_documents
 from farelake.streaming.enrich import enrich_with_zones
 from farelake.streaming.windows import WINDOW_KEYS, window_counts, with_event_time
 
@@ -47,13 +48,14 @@ def start_window_counts(
     interval: str | None = None,
     event_time: str = "tpep_pickup_datetime",
     width: str = "10 minutes",
-    watermark: str = "30 minutes",
+    watermark: str | None = "30 minutes",
 ) -> StreamingQuery:
     """Upsert the trips per window of every batch.
 
     Counts all trips, also those whose zone is unknown. Complete mode keeps every window in the state
     and hands all of them to each batch; update mode hands over changed windows only, drops rows later
-    than the watermark, and its state stays small however long the query runs.
+    than the watermark, and its state stays small however long the query runs. Without a watermark no
+    row is late: use that to replay what has an end.
     """
     if output_mode not in OUTPUT_MODES:
         raise ValueError(f"output mode is one of {OUTPUT_MODES}, not {output_mode!r}")
@@ -82,18 +84,26 @@ def run_stream(
     output_mode: str = "complete",
     interval: str | None = None,
     event_time: str = "tpep_pickup_datetime",
+    width: str = "10 minutes",
+    watermark: str | None = "30 minutes",
+    documents: tuple[str, str] | None = None,
 ) -> None:
-    """Both queries of the speed layer, until the first failure or, without an interval, the end."""
+    """Both queries of the speed layer, until the first failure or, without an interval, the end.
+
+    With ``documents``, the URI and database of a document store, the targets name its collections.
+    """
+    whole = output_mode == "complete"
+    write = upsert_batches(targets.counts, WINDOW_KEYS, whole)
+    path, source, options = targets.enriched, "parquet", {}
+    if documents:
+        write = upsert_documents(*documents, targets.counts, WINDOW_KEYS)
+        path, source, options = None, "mongodb", document_options(*documents, targets.enriched)
     counts = start_window_counts(
-        trips,
-        f"{targets.checkpoints}/counts",
-        upsert_batches(targets.counts, WINDOW_KEYS),
-        output_mode,
-        interval,
-        event_time,
+        trips, f"{targets.checkpoints}/counts", write, output_mode, interval, event_time, width, watermark
     )
     try:
-        enriched = start_enriched(trips, locations, targets.enriched, f"{targets.checkpoints}/enriched", interval)
+        checkpoint = f"{targets.checkpoints}/enriched"
+        enriched = start_enriched(trips, locations, path, checkpoint, interval, source, **options)
     except Exception:
         counts.stop()
         raise
@@ -108,8 +118,13 @@ def run_replay(
     checkpoint: str,
     interval: str | None = "10 seconds",
     partitions: int | None = None,
+    version: int = 2,
+    schema: str | None = None,
 ) -> StreamingQuery:
-    """Publish a stream of trip files as keyed Avro messages, one batch per trigger."""
-    publish = publish_batches(servers, topic, schema_id, partitions)
-    writer = trips.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    """Publish a stream of trip files as keyed Avro messages of either version, one batch per trigger.
+
+    ``schema`` is the text that ``schema_id`` stands for; by default that of the message version.
+    """
+    publish = publish_batches(servers, topic, schema_id, partitions, version=version, schema=schema)
+    writer = conform_trips(trips).writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return triggered(writer, interval).start()

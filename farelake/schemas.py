@@ -54,6 +54,7 @@ TRIP_V1 = T.StructType(
 
 ZONE_CSV = _struct(("LocationID", _STR), ("Borough", _STR), ("Zone", _STR), ("service_zone", _STR))
 
+# The tables of the star schema and of the marts, and their sort keys.
 DIM_TIME = _struct(
     ("timestamp_id", _TS),
     ("date", _DATE),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,15 +42,19 @@ def zoned_session(spark: SparkSession, time_zone: str) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """Fresh path under the shared folder named by ``spark.checkpoint.dir``.
-
-    Only where that is unset (local runs and tests) a temporary folder is taken.
-    """
+    """Fresh path under the shared folder named by ``spark.checkpoint.dir``, or, where that is unset, under the
+    warehouse folder, which every executor reaches as well. The path is deleted when the program ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="farelake-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster's file system, if the application still runs."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)

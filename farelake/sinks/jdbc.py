@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+# Databases whose dialect tells Spark that emptying a table leaves others alone; elsewhere Spark drops it.
+KEEPS_TABLE = ("jdbc:postgresql:", "jdbc:mysql:", "jdbc:sqlserver:", "jdbc:h2:", "jdbc:derby:", "jdbc:mariadb:")
+
+
 def create_clause(order_by: Sequence[str], engine: str = "MergeTree") -> str:
     """Clause that Spark appends to CREATE TABLE: storage engine and physical sort key."""
     keys = ", ".join(order_by)
@@ -26,6 +30,11 @@ def writer_options(
     if order_by and engine:
         options["createTableOptions"] = create_clause(order_by, engine)
     if mode == "overwrite":
+        if not url.startswith(KEEPS_TABLE):
+            raise ValueError(
+                f"Spark would drop and create {table} anew, and its declared types be lost: "
+                "empty the table in the database, then append to it"
+            )
         # Empty the table instead of dropping it, so its declared types and sort key stay.
         options["truncate"] = "true"
     return options

@@ -49,17 +49,20 @@ def land_partitioned(
     interval: str | None = "10 minutes",
     max_records: int = 1_000_000,
     unordered: bool = False,
+    files_per_day: int = 8,
     pickup: str = "tpep_pickup_datetime",
 ) -> StreamingQuery:
     """Trips -> Parquet under year=/month=/day= of the pickup time in the session's time zone.
 
     A new file starts with every trigger and after ``max_records`` rows. Trips without a pickup time
-    land in the default partition. With ``unordered`` each batch is split by pickup time first: tasks
-    of equal size that touch few days each, where otherwise every task may write to every day.
+    land in the default partition. With ``unordered`` each batch is shuffled by day first, a day's rows to
+    ``files_per_day`` tasks by a hash of the whole row: a day then gets that many files a trigger at most,
+    where otherwise every task may write to every day, and a day with most of the rows is still shared.
     """
     ts = F.col(pickup)
     if unordered:
-        stream = stream.repartitionByRange(ts, "PULocationID", "DOLocationID", "total_amount")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(files_per_day))
+        stream = stream.repartition(F.to_date(ts), salt)
     days = stream.withColumns(
         {
             "year": F.date_format(ts, "yyyy"),
@@ -107,21 +110,23 @@ def encode_messages(
     trips: DataFrame,
     schema_id: int,
     encode: Callable[[Column, str], Column] | None = None,
+    version: int = 2,
+    schema: str | None = None,
 ) -> DataFrame:
     """Trips -> (key, value) messages: framed Avro records, encoded in the executors.
 
-    ``encode`` replaces the Avro writer, which needs the spark-avro package on the cluster.
+    ``version`` is the message version and ``schema`` its text. ``encode`` replaces the Avro writer, which needs the
+    spark-avro package on the cluster.
     """
     if encode is None:
         from pyspark.sql.avro.functions import to_avro as encode
-    fields = message_fields(trips)
-    record = F.struct(
-        *[
-            F.timestamp_millis(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
-            for f in TRIP_V2
-        ]
-    )
-    return fields.select("key", add_header(encode(record, avro_schema(TRIP_V2)), schema_id).alias("value"))
+    if version == 1:
+        kinds, pairs = TRIP_V1, zip(TRIP_V2, TRIP_V1, strict=True)
+        record = F.struct(*[F.col(new.name).cast(old.dataType).alias(old.name) for new, old in pairs])
+    else:
+        kinds, record = TRIP_V2, F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIP_V2])
+    value = add_header(encode(record, schema or avro_schema(kinds)), schema_id)
+    return trips.select(trip_key().alias("key"), value.alias("value"))
 
 
 def publish_batches(
@@ -131,6 +136,8 @@ def publish_batches(
     partitions: int | None = None,
     source: str = "kafka",
     encode: Callable[[Column, str], Column] | None = None,
+    version: int = 2,
+    schema: str | None = None,
     **options: str,
 ) -> Callable[[DataFrame, int], None]:
     """Per-batch function that publishes the trips of a batch and skips an empty one.
@@ -143,7 +150,7 @@ def publish_batches(
         if batch.isEmpty():
             return
         rows = batch.repartition(partitions) if partitions else batch
-        writer = encode_messages(rows, schema_id, encode).write.format(source).mode("append")
+        writer = encode_messages(rows, schema_id, encode, version, schema).write.format(source).mode("append")
         if source == "kafka":
             writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
         writer.options(**options).save()

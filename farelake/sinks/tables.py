@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.schemas import SORT_KEYS, TABLES, assert_contract
+from farelake.session import delete_path
 
 
 def write_parquet(
@@ -22,7 +24,9 @@ def write_parquet(
 
     With ``partition_by`` rows are brought together per partition folder first. The rebalance hint lets
     AQE split a folder that holds much of the data over many tasks and merge small ones. An overwrite
-    replaces the whole table, or with ``replace="partitions"`` only the folders that get rows.
+    replaces the whole table, or with ``replace="partitions"`` only the folders that get rows. A whole
+    table is written beside the old one and takes its place when it is complete, so a write that fails
+    leaves the old table as it was.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
@@ -32,7 +36,33 @@ def write_parquet(
     if partition_by:
         overwrite = "dynamic" if replace == "partitions" else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", overwrite)
-    writer.parquet(path)
+    if mode != "overwrite" or (partition_by and replace == "partitions"):
+        writer.parquet(path)
+        return
+    aside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        writer.parquet(aside)
+        _take_place(df.sparkSession, aside, path)
+    finally:
+        delete_path(df.sparkSession, aside)
+
+
+def _take_place(spark: SparkSession, new: str, path: str) -> None:
+    """Rename the folder ``new`` to ``path``; what was there goes afterwards."""
+    context = spark.sparkContext
+    source, target = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (new, path))
+    old = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(source, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move the new table to {path}")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def table_path(root: str, name: str) -> str:

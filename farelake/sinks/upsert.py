@@ -35,22 +35,25 @@ def read_upserted(spark: SparkSession, target: str) -> DataFrame | None:
     return spark.read.parquet(_version_path(target, versions[-1])) if versions else None
 
 
-def upsert(batch: DataFrame, target: str, keys: Sequence[str]) -> None:
+def upsert(batch: DataFrame, target: str, keys: Sequence[str], whole: bool = False) -> None:
     """Replace the rows of ``target`` that share a key with ``batch``, add the others.
 
     Each call writes the next version in full; readers see it once it is complete. Meant for small
     keyed results such as window counts, whose size follows the calendar. A batch that is replayed
-    after a failure replaces its own rows, so the table stays the same.
+    after a failure replaces its own rows, so the table stays the same. With ``whole`` the batch is all
+    of the table, as in complete output mode: it becomes the next version, and the old one isn't read.
     """
     spark = batch.sparkSession
     fs, versions = _versions(spark, target)
-    rows = batch
-    if versions:
-        # The batch may come from a stateful query, so the plan must contain it only once.
+    # The batch may come from a stateful query, so the plan must contain it only once.
+    both = batch.withColumn("is_new", F.lit(1))
+    if versions and not whole:
         current = spark.read.parquet(_version_path(target, versions[-1]))
-        both = current.withColumn("is_new", F.lit(0)).unionByName(batch.withColumn("is_new", F.lit(1)))
-        kept = F.max_by(F.struct(*batch.columns), "is_new").alias("kept")
-        rows = both.groupBy(*keys).agg(kept).select("kept.*")
+        both = current.withColumn("is_new", F.lit(0)).unionByName(both)
+    # Of rows of one batch that share a key the greatest stays, however they are partitioned.
+    kept = F.max(F.struct("is_new", *[c for c in batch.columns if c not in keys])).alias("kept")
+    others = [F.col(f"kept.{c}").alias(c) if c not in keys else F.col(c) for c in batch.columns]
+    rows = both.groupBy(*keys).agg(kept).select(*others)
     following = versions[-1] + 1 if versions else 0
     # One or a few files: AQE merges the small partitions.
     rows.hint("rebalance").write.mode("overwrite").parquet(_version_path(target, following))
@@ -58,11 +61,11 @@ def upsert(batch: DataFrame, target: str, keys: Sequence[str]) -> None:
         fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version_path(target, old)), True)
 
 
-def upsert_batches(target: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Per-batch function for ``foreachBatch`` that upserts into ``target``."""
+def upsert_batches(target: str, keys: Sequence[str], whole: bool = False) -> Callable[[DataFrame, int], None]:
+    """Per-batch function for ``foreachBatch`` that upserts into ``target``; ``whole`` for complete output mode."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, target, keys)
+        upsert(batch, target, keys, whole)
 
     return write
 

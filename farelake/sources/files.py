@@ -10,10 +10,9 @@ from farelake.operators.star import dim_location
 from farelake.schemas import ZONE_CSV
 
 
-def read_trips(spark: SparkSession, path: str, row_limit: int | None = None) -> DataFrame:
-    """Trip files. ``row_limit`` takes any that many rows, for trial runs only."""
-    trips = spark.read.parquet(path)
-    return trips if row_limit is None else trips.limit(row_limit)
+def read_trips(spark: SparkSession, path: str) -> DataFrame:
+    """Trip files; a trial run is given fewer of them."""
+    return spark.read.parquet(path)
 
 
 def read_landed_trips(spark: SparkSession, path: str, year: int | None = None, month: int | None = None) -> DataFrame:
@@ -44,7 +43,11 @@ def replay_trips(
     latest_first: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Stream of the trip files, limited per trigger by files or by bytes, newest file first."""
+    """Stream of the trip files, limited per trigger by files or by bytes, newest file first.
+
+    Files count as new however old they are: unless ``maxFileAge`` is given, it is set beyond any file's age. (Spark
+    otherwise skips files a week older than the newest it has seen, when the oldest come first.)
+    """
     if (max_files is None) == (max_bytes is None):
         raise ValueError("give exactly one of max_files and max_bytes")
     if max_files is not None:
@@ -57,6 +60,7 @@ def replay_trips(
         spark.readStream.schema(schema or schema_of(spark, path))
         .option(limit, str(value))
         .option("latestFirst", str(latest_first).lower())
+        .option("maxFileAge", "36500d")
         .options(**options)
         .parquet(path)
     )

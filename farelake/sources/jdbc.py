@@ -10,8 +10,8 @@ def table_options(
     table: str,
     properties: dict[str, str],
     column: str | None = None,
-    lower: int | None = None,
-    upper: int | None = None,
+    lower: object | None = None,
+    upper: object | None = None,
     partitions: int | None = None,
 ) -> dict[str, str]:
     """Reader options. With a column and its range the read is split into that many queries."""
@@ -29,11 +29,12 @@ def read_table(
     table: str,
     properties: dict[str, str],
     column: str | None = None,
-    lower: int | None = None,
-    upper: int | None = None,
+    lower: object | None = None,
+    upper: object | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Whole table, or a range-split read: rows beyond the bounds go to the first and last part.
+    """Whole table, or a range-split read: rows beyond the bounds go to the first and last part. The column is a
+    number, a date or a timestamp; the bounds of the latter two are texts.
 
     Without a split one task reads the table: use that for lookup tables, never for the fact.
     """
@@ -44,6 +45,15 @@ def read_table(
     )
 
 
+def read_span(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str
+) -> tuple[str, str] | None:
+    """First and last value of a timestamp column, as bounds of a split read; None for an empty table."""
+    query = f"SELECT min({column}) AS lo, max({column}) AS hi FROM {table}"
+    row = spark.read.format("jdbc").options(url=url, query=query, **properties).load().head()
+    return None if row is None or row["lo"] is None else (str(row["lo"]), str(row["hi"]))
+
+
 def require_database(spark: SparkSession, name: str) -> None:
     """Fail early if the target database is not in the catalog."""
     if not spark.catalog.databaseExists(name):

@@ -17,7 +17,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """
     order, part, supp, line = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
-    start = order % 86399
+    start = order * 7919 % 86399  # all hours of the day
     pickup = F.timestamp_add("SECOND", start, F.col("l_shipdate"))
     dropoff = F.timestamp_add("SECOND", start + part % 3607 - 60, F.col("l_shipdate"))
     return lineitem.select(
@@ -33,14 +33,14 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.nullif(supp % 9, F.lit(8)).alias("payment_type"),
         (quantity - 1).alias("fare_amount"),
         F.nullif("l_discount", F.lit(0.05)).alias("extra"),
-        F.col("l_tax").alias("mta_tax"),
+        F.nullif("l_tax", F.lit(0.08)).alias("mta_tax"),
         F.nullif(quantity, F.lit(7.0)).alias("tip_amount"),
-        F.col("l_discount").alias("tolls_amount"),
+        F.nullif("l_discount", F.lit(0.1)).alias("tolls_amount"),
         F.nullif("l_tax", F.lit(0.0)).alias("improvement_surcharge"),
         F.when(order % 59 != 0, price).otherwise(0.0).alias("total_amount"),
-        F.col("l_tax").alias("congestion_surcharge"),
-        F.col("l_discount").alias("Airport_fee"),
-        F.col("l_discount").alias("cbd_congestion_fee"),
+        F.nullif("l_tax", F.lit(0.02)).alias("congestion_surcharge"),
+        F.nullif("l_discount", F.lit(0.07)).alias("Airport_fee"),
+        F.nullif("l_discount", F.lit(0.01)).alias("cbd_congestion_fee"),
     )
 
 

@@ -1,9 +1,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from rows import GOOD, plan_of, same_rows, trips
 
 from farelake.operators import clean
+from farelake.operators.clean import clean_trips, conform_trips
 from farelake.schemas import TRIP_V1, TRIP_V2
 
 AT = datetime(2025, 3, 1, 10)
@@ -98,3 +100,19 @@ def test_literal_rules_reach_the_parquet_reader(spark, tmp_path):
     for part in ("IsNotNull(payment_type)", "GreaterThan(trip_distance,0.0)", "In(VendorID, [1,2])"):
         assert part in pushed
     assert "Exchange" not in plan_of(cleansed)
+
+
+def test_only_null_fees_are_filled(spark):
+    fees = {"tip_amount": float("nan"), "extra": None}
+    row = clean_trips(trips(spark, fees)).head()
+    assert row.tip_amount != row.tip_amount and row.extra == 0.0
+
+
+def test_missing_column_is_named(spark):
+    with pytest.raises(ValueError, match="VendorID"):
+        conform_trips(trips(spark, {}).drop("VendorID"))
+
+
+def test_single_precision_money_keeps_its_digits(spark):
+    old = trips(spark, {"total_amount": 12.34}).withColumn("total_amount", F.col("total_amount").cast("float"))
+    assert conform_trips(old).head().total_amount == 12.34

@@ -43,8 +43,10 @@ def test_marts_from_a_database(spark, tmp_path, monkeypatch):
         return read_star_or_mart(spark, str(tmp_path / "a"), table)
 
     monkeypatch.setattr(batch, "read_table", read)
-    tables = batch.database_star(spark, "jdbc:x", {}, fact_rows=100, partitions=4)
-    assert calls[-1] == ("fact_trip", ("fact_trip_sk", 0, 100, 4))
+    monkeypatch.setattr(batch, "read_span", lambda spark, url, table, props, column: ("2025-03-01", "2025-03-02"))
+    tables = batch.database_star(spark, "jdbc:x", {}, partitions=4)
+    assert ("fact_trip", ("created_at_sk", "2025-03-01", "2025-03-02", 4)) in calls
+    assert ("dim_time", ("timestamp_id", "2025-03-01", "2025-03-02", 4)) in calls
     batch.build_marts(spark, str(tmp_path / "b"), tables=tables)
     for name in MART_TABLES:
         assert same_rows(*(read_star_or_mart(spark, str(tmp_path / d), name) for d in "ab")), name

@@ -2,6 +2,7 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from rows import facts, plan_of, same_rows, trips, zones
 
 from farelake.operators import joins, star
@@ -107,7 +108,7 @@ def test_large_location_table_gives_the_same_fact(spark, monkeypatch):
     clean = clean_trips(trips(spark, *[{"PULocationID": i} for i in range(1, 30)]))
     dim = zones(spark, range(5, 300))
     small = star.fact_trip(clean, *lookups(spark), dim).drop("fact_trip_sk")
-    monkeypatch.setattr(star, "broadcast_if_small", lambda d: d)
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda d: d)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffled = star.fact_trip(clean, *lookups(spark), dim).drop("fact_trip_sk")
@@ -140,3 +141,55 @@ def test_joins_whose_keys_are_unused_are_left_out(spark, tmp_path):
     fact = star.fact_trip(clean, *lookups(spark), zones(spark, [10]))
     assert "Join" not in plan_of(fact.groupBy("pickup_time_sk").sum("total_amount"))
     assert plan_of(fact.groupBy("vendor_sk").sum("total_amount")).count("BroadcastHashJoin") == 1
+
+
+def skewed(spark, tmp_path, name, change):
+    """Stored trips of which a third has one key, under thresholds that call them skewed."""
+    rows = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 0, id % 5000) AS k")
+    base = trips(spark, {}).drop(name)
+    out = rows.crossJoin(base).withColumn(name, change).drop("id", "k")
+    out.repartition(6).write.parquet(str(tmp_path / "t"))
+    return clean_trips(spark.read.parquet(str(tmp_path / "t")))
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_second_is_split(spark, tmp_path, small_skew):
+    second = F.expr("timestamp_ntz'2025-03-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, k)")
+    clean = skewed(spark, tmp_path, "tpep_pickup_datetime", second)
+    clean = clean.withColumn("tpep_dropoff_datetime", F.expr("tpep_pickup_datetime + interval 5 minutes"))
+    star.dim_time(clean).write.parquet(str(tmp_path / "times"))
+    fact = star.fact_trip(clean, *lookups(spark), zones(spark, [10, 20]), spark.read.parquet(str(tmp_path / "times")))
+    assert "skew=true" in final_plan(fact.groupBy("pickup_time_sk").sum("total_amount"))
+
+
+def test_hot_lookup_beyond_the_bound_is_split(spark, tmp_path, small_skew, monkeypatch):
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda d: d)
+    clean = skewed(spark, tmp_path, "PULocationID", F.expr("cast(1 + k % 200 as int)"))
+    zones(spark, range(1, 264)).write.parquet(str(tmp_path / "z"))
+    fact = star.fact_trip(clean, *lookups(spark), spark.read.parquet(str(tmp_path / "z")))
+    assert "skew=true" in final_plan(fact.groupBy("pickup_location_sk").sum("total_amount"))

@@ -128,7 +128,7 @@ def test_failing_query_stops_the_other(spark, tmp_path, monkeypatch):
     write_files(spark, tmp_path / "in", [[{}]])
     from farelake.plans import stream
 
-    def broken(target, keys):
+    def broken(target, keys, whole=False):
         def write(batch, batch_id):
             raise RuntimeError("sink is gone")
 
@@ -260,3 +260,39 @@ def test_text_event_time(spark):
 
 def test_good_row_matches_the_schema(spark):
     assert list(GOOD) == TRIP_V2.names == wall_clock(TRIP_V2).names
+
+
+def test_replay_in_update_mode_counts_every_row(spark, tmp_path):
+    write_files(spark, tmp_path / "in", LATE)
+    source = replay_trips(spark, str(tmp_path / "in"), latest_first=False)
+    target = str(tmp_path / "counts")
+    write = upsert_batches(target, WINDOW_KEYS)
+    start_window_counts(source, str(tmp_path / "cp"), write, "update", watermark=None).awaitTermination()
+    assert sum(r.trip_count for r in read_upserted(spark, target).collect()) == sum(map(len, LATE))
+
+
+def test_a_hot_day_lands_in_a_bounded_number_of_files(spark, tmp_path):
+    rows = [at(i % 60) | {"total_amount": float(i + 1)} for i in range(400)]
+    write_files(spark, tmp_path / "in", [rows])
+    source = replay_trips(zoned_session(spark, "UTC"), str(tmp_path / "in"))
+    out = tmp_path / "out"
+    land_partitioned(source, str(out), str(tmp_path / "cp"), None, unordered=True, files_per_day=3).awaitTermination()
+    files = list((out / "year=2025" / "month=03" / "day=01").glob("*.parquet"))
+    assert 1 <= len(files) <= 3
+    assert read_landed_trips(spark, str(out)).count() == 400
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_replayed_files_conform_first(spark, tmp_path, version):
+    seen = {}
+    rows = conform_trips(trips(spark, {}).withColumn("VendorID", F.lit(1).cast("bigint")))
+
+    def encode(record, schema):
+        seen["schema"] = schema
+        return F.to_json(record).cast("binary")
+
+    publish = publish_batches("", "", 7, source="parquet", encode=encode, version=version, schema="{}", path=str(tmp_path / "t"))
+    publish(rows, 0)
+    value = bytes(spark.read.parquet(str(tmp_path / "t")).head().value)
+    assert seen["schema"] == "{}" and value[:5] == bytes([0, 0, 0, 0, 7])
+    assert (b'"tpep_pickup_datetime":"2025-03-01 10:00:00"' in value) == (version == 1)

@@ -76,10 +76,6 @@ def test_run_from_files(spark, raw, tmp_path):
     assert (counts["fact_trip"], counts["dim_location"]) == (263, 2)
     zone = read_star_or_mart(spark, run.root, "dim_location").filter("location_id = 1").head()
     assert zone.zone == "Newark, Airport"
-    limited = batch.run_batch(
-        spark, str(tmp_path / "trips"), str(tmp_path / "zones.csv"), str(tmp_path / "few"), row_limit=10
-    )
-    assert {r.table_name: r.row_count for r in limited.summary.collect()}["fact_trip"] <= 10
 
 
 def test_overwrite_of_partitions_leaves_the_others(spark, tmp_path):
@@ -150,7 +146,9 @@ def test_jdbc_options():
         jdbc.table_options("u", "t", {}, column="location_id")
     assert jdbc_sink.create_clause(["a"]) == "ENGINE = MergeTree ORDER BY a"
     assert jdbc_sink.create_clause(["a", "b"]) == "ENGINE = MergeTree ORDER BY (a, b)"
-    assert jdbc_sink.writer_options("u", "t", {}, ["a"], "overwrite")["truncate"] == "true"
+    assert jdbc_sink.writer_options("jdbc:postgresql:x", "t", {}, ["a"], "overwrite")["truncate"] == "true"
+    with pytest.raises(ValueError, match="append"):
+        jdbc_sink.writer_options("jdbc:clickhouse:x", "t", {}, ["a"], "overwrite")
     assert "truncate" not in jdbc_sink.writer_options("u", "t", {}, ["a"])
     assert "createTableOptions" not in jdbc_sink.writer_options("u", "t", {}, ["a"], engine=None)
 
@@ -200,3 +198,43 @@ def test_avro_schema_text():
     assert (v2["VendorID"], v2["passenger_count"], v2["Airport_fee"]) == ("int", "long", "double")
     assert (v1["tpep_pickup_datetime"], v1["passenger_count"], v1["airport_fee"]) == ("string", "int", "float")
     assert len(v1) == len(v2) == 20
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_parquet(spark.createDataFrame([(1,)], "v int"), path)
+    broken = spark.range(100, numPartitions=4).selectExpr("assert_true(id < 90) AS ok", "id AS v")
+    with pytest.raises(Exception, match="true"):
+        write_parquet(broken, path)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [1]
+    write_parquet(spark.createDataFrame([(2,)], "v int"), path)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_upsert_settles_equal_keys_from_the_first_version(spark, tmp_path):
+    twice = spark.createDataFrame([(1, 5), (1, 7), (2, 1)], "k int, n int")
+    for target, whole in (("a", False), ("b", True)):
+        for _ in range(2):
+            upsert(twice, str(tmp_path / target), ["k"], whole)
+            assert sorted(map(tuple, read_upserted(spark, str(tmp_path / target)).collect())) == [(1, 7), (2, 1)]
+    upsert(twice.where("k = 2"), str(tmp_path / "b"), ["k"], whole=True)
+    assert read_upserted(spark, str(tmp_path / "b")).count() == 1
+
+
+def test_repeated_lookup_key_is_refused(spark, tmp_path):
+    two = zones(spark, [1]).unionAll(zones(spark, [1]))
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        batch.build_star(spark, trips(spark, {}), two, str(tmp_path))
+
+
+def test_time_ranges_split_the_fact_evenly(spark, tmp_path, monkeypatch):
+    rows = facts(spark, *[{"created_at_sk": datetime(2025, 3, 1 + i % 28, i % 24)} for i in range(2000)])
+    rows.createOrReplaceTempView("fact_trip")
+    spark.table("fact_trip").selectExpr("created_at_sk AS timestamp_id").createOrReplaceTempView("dim_time")
+    span = spark.sql("SELECT cast(min(created_at_sk) AS string), cast(max(created_at_sk) AS string) FROM fact_trip").head()
+    low, high = (datetime.fromisoformat(v) for v in span)
+    counts = [0] * 8
+    for (at,) in rows.select("created_at_sk").collect():
+        counts[min(7, int(8 * (at - low) / (high - low)))] += 1
+    assert max(counts) < 2 * min(counts)
