@@ -95,6 +95,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(labels: DataFrame, rows: int) -> DataFrame:
+    """One label for each id, of ``rows`` ids at most: those with the smallest hashes, whatever the order of the table.
+    Ids far beyond the bound are left out before they are sorted, so one task sees little more than the sample."""
+    labels = labels.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    total = labels.count()
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    if total > rows:
+        labels = labels.where(draw < int((1 << 30) * min(1.0, 1.2 * rows / total + 0.001)))
+    return stored(labels.orderBy(draw, "doc_id").limit(rows), "sample")
+
+
 def forget(df: DataFrame) -> None:
     """Deletes the files of a table that ``stored`` returned and nothing reads any more."""
     context = df.sparkSession.sparkContext

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffled, stored, without
+from .common import sampled, shuffled, stored, without
 from .logistic import fit, sigmoid
 
 #: Labelled documents that the classifier is fitted on at most, those with the smallest hashes of their ids.
@@ -90,11 +90,14 @@ def _features(texts: pd.Series) -> pd.Series:
     return pd.Series([features(t) for t in texts])
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Classifier from rows (``doc_id``, ``text``, ``quality`` 0 or 1), at most ``sample`` of them."""
-    rows = labelled.where(F.col("quality").isNotNull())
-    rows = rows.select(F.xxhash64("doc_id", "text").alias("draw"), "quality", F.pandas_udf(_features, "array<double>")("text").alias("x"))
-    rows = stored(rows, "features").orderBy("draw").limit(sample).toPandas()
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """Classifier from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality`` 0 or 1), at most
+    ``sample`` of them."""
+    known = sampled(labels.select("doc_id", "quality").where(F.col("quality").isNotNull()), sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = rows.select("doc_id", "quality", F.pandas_udf(_features, "array<double>")("text").alias("x"))
+    # One text for each id, so the rows are bounded by the sample.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).toPandas()
     y = rows["quality"].to_numpy(np.float64)
     x = np.array(rows["x"].tolist()).reshape(len(y), len(FEATURES))
     weights, bias = fit(expanded(x), y, ridge=0.3)
@@ -194,9 +197,7 @@ def grade(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: float
     stay. An empty table gives an empty result.
     """
     docs = without(docs, _OWN)
-    known = labels.select("doc_id", "quality").where(F.col("quality").isNotNull()).dropDuplicates(["doc_id"])
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    model = learn(labelled, sample)
+    model = learn(docs, labels, sample)
     scored = stored(_placed(docs.select("text", "lang", "source"), model).select("host", "path", "logit"), "evidence")
     graded = posterior(_placed(docs, model), sites(scored), model.base)
     return graded.withColumn("kept", F.col("probability") >= least)

@@ -29,8 +29,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    labels = read(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    lexicon = toxicity.learn(docs.join(labels, "doc_id"))
+    lexicon = toxicity.learn(docs, read(spark, sf_dir, "labels").where(~held_out))
     return toxicity.score_texts(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

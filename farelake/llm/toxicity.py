@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sampled, stored
 from .logistic import fit, sigmoid
 from .wordhash import slices
 
@@ -145,15 +145,18 @@ def _hit_rows(entries: tuple[tuple[str, int], ...], exceptions: tuple[str, ...])
     return run
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from rows (``doc_id``, ``text``, ``toxic`` 0 or 1): the words and beginnings of words that set toxic
-    texts apart, with the weights of a logistic regression on which of them a text reaches.
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+    """A lexicon from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``toxic`` 0 or 1): the words and
+    beginnings of words that set toxic texts apart, with the weights of a logistic regression on which of them a text
+    reaches.
 
-    At most ``sample`` rows are used, those with the smallest hashes of their ids. Rows without a label are left out;
-    without any row or with one class the lexicon is empty and the score is the base rate.
+    At most ``sample`` labels are used, those with the smallest hashes of their ids. Null labels, and labels without a
+    document, are left out; without any or with one class the lexicon is empty and the score is the base rate.
     """
-    rows = labelled.where(F.col("toxic").isNotNull()).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows = stored(rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample), "labelled")
+    known = labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(sampled(known, sample)), "doc_id")
+    # One text for each id: an id that many rows repeat counts once.
+    rows = stored(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")
     spread = rows.repartition(48, F.xxhash64("doc_id"))
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)

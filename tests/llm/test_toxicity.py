@@ -1,7 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from farelake.llm import queries, toxicity
 from farelake.llm.toxicity import Lexicon, Matcher, fold, score_texts
 
@@ -36,7 +34,7 @@ def test_scores_of_edge_rows(edge, edge_rows):
 
 
 def test_empty_tables(spark, empty):
-    lexicon = toxicity.learn(empty.withColumn("toxic", F.lit(1)))
+    lexicon = toxicity.learn(empty, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
     assert lexicon.entries == ()
     assert score_texts(empty, lexicon).count() == 0
     docs = spark.createDataFrame([(1, "anything"), (2, None)], "doc_id long, text string")
@@ -44,9 +42,12 @@ def test_empty_tables(spark, empty):
 
 
 def test_learning_leaves_out_missing_labels(spark):
-    rows = [(i, f"word{i} plain text {'nasty' if i % 5 == 0 else 'nice'} end", int(i % 5 == 0)) for i in range(400)]
-    rows += [(1000 + i, "nasty", None) for i in range(50)]
-    lexicon = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    rows = [(i, f"word{i} plain text {'nasty' if i % 5 == 0 else 'nice'} end") for i in range(400)]
+    rows += [(1000 + i, "nasty") for i in range(50)]
+    labels = [(i, int(i % 5 == 0) if i < 400 else None) for i, _ in rows] + [(99_999, 1)]
+    lexicon = toxicity.learn(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    )
     assert " nasty " in {pattern for pattern, _ in lexicon.entries}
     docs = spark.createDataFrame([(1, "a NASTY one"), (2, "a n4sty one"), (3, "a nice one")], "doc_id long, text string")
     assert [r.predicted for r in score_texts(docs, lexicon).orderBy("doc_id").collect()] == [1, 1, 0]
