@@ -14,8 +14,9 @@ from .common import NO_TERM, ranked, shuffled, stored
 
 #: Share of all documents that a term must be in, least and most.
 LOW, HIGH = 3e-4, 0.1
-#: Independent subsets to a level, levels, and levels in a fingerprint.
-SUBSETS, LEVELS, USED = 8, 14, 3
+#: Independent subsets to a level, levels, and levels in a fingerprint. With all sums and keys an aggregate has fewer
+#: than the 100 columns up to which Spark compiles it.
+SUBSETS, LEVELS, USED = 8, 12, 3
 #: A lexicon has at most (distinct terms of a mean document) / LOW terms; beyond this many it is joined by shuffle.
 BROADCAST_TERMS = 4_000_000
 
