@@ -92,7 +92,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     with _files_go(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _MADE.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+_MADE: list[str] = []
+
+
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables stored inside of the block go at its end, but for those from ``stored`` that the block puts into the
+    list."""
+    kept: list[DataFrame] = []
+    start = len(_MADE)
+    yield kept
+    stay = [table._stored_at for table in kept]
+    for path in set(_MADE[start:]) - set(stay):
+        _remove(spark, path)
+    _MADE[start:] = stay
 
 
 def sampled(labels: DataFrame, rows: int) -> DataFrame:
@@ -106,14 +125,6 @@ def sampled(labels: DataFrame, rows: int) -> DataFrame:
     return stored(labels.orderBy(draw, "doc_id").limit(rows), "sample")
 
 
-def forget(df: DataFrame) -> None:
-    """Deletes the files of a table that ``stored`` returned and nothing reads any more."""
-    context = df.sparkSession.sparkContext
-    for file in df.inputFiles():
-        path = context._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, False)
-
-
 def ranked(df: DataFrame, by: list[str]) -> DataFrame:
     """``df`` with ``rank``, its rows counted from 0 in the order of ``by`` (nulls first): a range shuffle, then the
     rows before each partition, of which there is one number a partition."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, shuffled, stored, without
+from .common import same, shuffled, steps, stored, without
 
 _OWN = ["n_lines", "n_removed", "_th", "_h", "_cut", "_id"]
 
@@ -108,9 +108,10 @@ def dedup_lines(docs: DataFrame, window: int = 2, long_line: int = 50) -> DataFr
     of a hash of their texts, and rows with equal id and text are one document that comes back as often as it came.
     Input columns named like one that is added are replaced; others stay. An empty table gives an empty result.
     """
-    cuts = stored(repeated_lines(docs, window, long_line), "cuts").select(
-        F.col("doc_id").alias("_id"), F.col("_th").alias("_th2"), "_cut"
-    )
+    with steps(docs.sparkSession) as kept:
+        cuts = stored(repeated_lines(docs, window, long_line), "cuts")
+        kept.append(cuts)
+    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("_th").alias("_th2"), "_cut")
     rows = without(docs, [*_OWN, "_th2"]).withColumn("_th", F.xxhash64("text"))
     joined = rows.join(shuffled(cuts), same(F.col("doc_id"), F.col("_id")) & (F.col("_th") == F.col("_th2")), "left")
     split = F.split("text", "\n")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, ranked, same, shuffled, stored
+from .common import ranked, same, shuffled, steps, stored
 from .wordhash import constants, mix, slices, texts, word_hashes
 
 #: After two rounds a symbol stands for a few words, and nearly every window of twenty holds one with its context.
@@ -265,6 +265,18 @@ def drop_repeats(docs: DataFrame, window: int = 20, whole: bool = True) -> DataF
     """
     docs = docs.select("doc_id", "text").withColumn("_th", F.hash("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    with steps(docs.sparkSession) as kept:
+        known = _known(docs, window, id_type)
+        kept.append(known)
+    known = known.select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t"), "firsts", "counts", "origins")
+    on = same(docs["doc_id"], known["_id"]) & (docs["_th"] == known["_t"])
+    return docs.join(shuffled(known), on, "left").select("doc_id", "text", "firsts", "counts", "origins").mapInArrow(
+        _kept_rows(window, whole), f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string"
+    )
+
+
+def _candidates(docs: DataFrame, window: int, id_type: str) -> DataFrame:
+    """(``doc_id``, ``_th``, ``firsts``, ``counts``): for each document the runs of windows whose symbols are shared."""
     symbols = f"key bigint, doc_id {id_type}, _th int, first int, windows int"
     found = stored(docs.mapInArrow(_anchor_rows(window), symbols), "symbols")
     shared = stored(found.groupBy("key").count().where("count > 1").select("key"), "shared_symbols")
@@ -274,11 +286,16 @@ def drop_repeats(docs: DataFrame, window: int = 20, whole: bool = True) -> DataF
         .agg(F.sort_array(F.collect_set(F.struct("first", "windows"))).alias("spans"))
         .select("doc_id", "_th", F.col("spans.first").alias("firsts"), F.col("spans.windows").alias("counts"))
     )
-    spans = stored(spans, "spans")
+    return stored(spans, "spans")
+
+
+def _known(docs: DataFrame, window: int, id_type: str) -> DataFrame:
+    """Candidates with ``origins``, those of their windows that are the first of their sequence."""
+    with steps(docs.sparkSession) as kept:
+        spans = _candidates(docs, window, id_type)
+        kept.append(spans)
     numbers = stored(ranked(spans.select("doc_id", "_th"), ["doc_id", "_th"]), "numbers")
-    forget(found)
     spans = stored(_on_document(spans, numbers).select("doc_id", "_th", "rank", "firsts", "counts"), "candidates")
-
     unique = spans.select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t"), "rank", "firsts", "counts")
     on = same(docs["doc_id"], unique["_id"]) & (docs["_th"] == unique["_t"])
     windows = docs.join(shuffled(unique), on).select("text", "rank", "firsts", "counts").mapInArrow(
@@ -294,14 +311,7 @@ def drop_repeats(docs: DataFrame, window: int = 20, whole: bool = True) -> DataF
         .agg(F.collect_list("at").alias("origins"))
     )
     origins = stored(origins, "origins")
-    known = spans.join(shuffled(origins), "rank", "left").select(
-        F.col("doc_id").alias("_id"), F.col("_th").alias("_t"), "firsts", "counts", "origins"
-    )
-    known = stored(known, "known")
-    on = same(docs["doc_id"], known["_id"]) & (docs["_th"] == known["_t"])
-    return docs.join(shuffled(known), on, "left").select("doc_id", "text", "firsts", "counts", "origins").mapInArrow(
-        _kept_rows(window, whole), f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string"
-    )
+    return stored(spans.join(shuffled(origins), "rank", "left").drop("rank"), "known")
 
 
 def _on_document(spans: DataFrame, numbers: DataFrame) -> DataFrame:
