@@ -9,15 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import same, shuffled, stored, without
+from .common import same, shuffled, steps, stored, without
 from .wordhash import constants, mix, slices, texts, word_hashes
 
 #: 30 bands of 5 values from 75 permutations: a pair of similarity 0.8 shares no band once in 150,000 times.
 BANDS, ROWS = 30, 5
 SEED = 5
-#: Rounds that compare with one document of a bucket each, before what is left is compared in full.
-STAR_ROUNDS = 2
-
 _SIGNED = "n_shingles int, cls binary, bands array<bigint>"
 
 
@@ -99,56 +96,84 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(``cls``, ``comp``): the smallest node that each node reaches over undirected ``edges`` (a, b)."""
+    """(``cls``, ``comp``): the smallest node that each node reaches over undirected ``edges`` (a, b). In each round a
+    node takes the smallest label of its neighbours, and then the label of that one."""
     ways = stored(edges.select("a", "b").unionAll(edges.select("b", "a")).distinct(), "ways")
-    labels = stored(nodes.select("cls", F.col("cls").alias("comp")), "labels")
+    labels = nodes.select("cls", F.col("cls").alias("comp"))
     while True:
         seen = labels.select(F.col("cls").alias("b"), F.col("comp").alias("there"))
         lowest = ways.join(seen, "b").groupBy(F.col("a").alias("cls")).agg(F.min("there").alias("low"))
-        stepped = stored(
-            labels.join(lowest, "cls", "left").select(
-                "cls", F.least("comp", "low").alias("next"), (F.col("low") < F.col("comp")).alias("moved")
-            ),
-            "steps",
-        )
-        if stepped.where("moved").isEmpty():
-            return labels
-        jump = stepped.select(F.col("cls").alias("next"), F.col("next").alias("comp"))
-        labels = stored(stepped.join(jump, "next").select("cls", "comp"), "labels")
-
-
-def _round_pairs(buckets: DataFrame, labels: DataFrame, turn: int, one_each: bool) -> DataFrame:
-    """Pairs of a document with one chosen document of its bucket, where that is of another component so far."""
-    marked = buckets.join(shuffled(labels), "cls")
-    order = F.struct(F.xxhash64("cls", F.lit(turn)).alias("draw"), F.col("cls").alias("head"), F.col("comp"))
-    heads = (
-        marked.groupBy("key")
-        .agg(F.min(order).alias("head"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .where("lo <> hi")
-        .select("key", F.col("head.head").alias("head"), F.col("head.draw").alias("draw"), F.col("head.comp").alias("to"))
+        stepped = labels.join(lowest, "cls", "left").select("cls", "comp", F.least("comp", "low").alias("next"))
+        jump = stepped.select(F.col("cls").alias("next"), F.col("next").alias("then"))
+        moved = (F.col("then") != F.col("comp")).alias("moved")
+        labels = stored(stepped.join(jump, "next").select("cls", F.col("then").alias("comp"), moved), "labels")
+        if labels.where("moved").isEmpty():
+            return labels.select("cls", "comp")
+
+
+def _possible(n: Column, free: Column, other_n: Column, other_free: Column, percent: int) -> Column:
+    """Whether two sets of given sizes can be similar enough, each with so many shingles that another set has too."""
+    both = F.least(free, other_free)
+    return 100 * both >= percent * (n + other_n - both)
+
+
+def _live(sets: DataFrame, percent: int) -> DataFrame:
+    """(``cls``, ``n``, ``free``): size of each set and how many of its shingles occur in another set. Sets with too
+    many shingles of their own are left out: they can't be linked with any."""
+    known = sets.select("cls", F.xxhash64("cls").alias("id"), F.size("shingles").cast("long").alias("n"))
+    own = (
+        sets.select(F.explode("shingles").alias("h"), F.xxhash64("cls").alias("id"))
+        .groupBy("h")
+        .agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"))
+        .where("sets = 1")
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+    free = F.col("n") - F.coalesce("own", F.lit(0))
+    out = known.join(shuffled(own), "id", "left").select("cls", "n", free.alias("free"))
+    return out.where(100 * F.col("free") >= percent * F.col("n"))
+
+
+def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Each document with the most central one of each of its buckets, that with the least share of own shingles."""
+    order = F.struct(
+        (-F.col("free") / F.col("n")).alias("off"),
+        F.xxhash64("cls").alias("draw"),
+        F.col("cls").alias("head"),
+        F.col("n").alias("head_n"),
+        F.col("free").alias("head_free"),
     )
-    pairs = marked.join(shuffled(stored(heads, "heads")), "key").where("comp <> to")
-    if one_each:
-        pairs = pairs.groupBy("cls").agg(F.min(F.struct("draw", "head")).alias("h")).select("cls", "h.head")
+    heads = stored(buckets.groupBy("key").agg(F.min(order).alias("h")).select("key", "h.*"), "heads")
+    near = _possible(F.col("n"), F.col("free"), F.col("head_n"), F.col("head_free"), percent)
+    pairs = buckets.join(shuffled(heads), "key").where((F.col("cls") != F.col("head")) & near)
     return pairs.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
 
 
-def _rest_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of a bucket that aren't of one component yet."""
-    marked = buckets.join(shuffled(labels), "cls")
+def _rest_pairs(buckets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that aren't of one component yet and could be similar enough."""
+    marked = stored(buckets.join(shuffled(labels), "cls"), "marked")
     open_keys = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     left = stored(marked.join(shuffled(stored(open_keys.select("key"), "open")), "key"), "left")
-    a = left.select("key", F.col("cls").alias("a"), F.col("comp").alias("ca"))
-    b = left.select("key", F.col("cls").alias("b"), F.col("comp").alias("cb"))
-    return a.join(shuffled(b), "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
+    # A pair comes out of the first bucket that it shares only; a document has 30 at most.
+    own = stored(left.groupBy("cls").agg(F.collect_set("key").alias("keys")), "own_keys")
+    left = stored(left.join(shuffled(own), "cls"), "left_keys")
+    a, b = (
+        left.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "comp", "n", "free", "keys")])
+        for side in "ab"
+    )
+    near = _possible(F.col("n_a"), F.col("free_a"), F.col("n_b"), F.col("free_b"), percent)
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == a["key"]
+    apart = (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b")) & near & first
+    pairs = a.join(shuffled(b), (a["key"] == b["key"]) & apart)
+    return pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
 
 
 def classes(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(``cls``, ``comp``) of the set classes that share a bucket with another one."""
+    """(``cls``, ``comp``) of the set classes that may be linked with another one."""
     keys = stored(signed.select(F.explode("bands").alias("key"), "cls").distinct(), "keys")
     shared = keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
     buckets = stored(keys.join(shuffled(stored(shared.select("key"), "shared")), "key"), "buckets")
-    nodes = stored(buckets.select("cls").distinct(), "nodes")
+    nodes = buckets.select("cls").distinct()
 
     rep = signed.groupBy("cls").agg(F.min(F.struct("doc_id", "_th")).alias("r"))
     wanted = stored(rep.join(shuffled(nodes), "cls").select("cls", "r.doc_id", "r._th"), "wanted")
@@ -157,21 +182,18 @@ def classes(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     found = here.join(shuffled(wanted), on).select("cls", "text").dropDuplicates(["cls"])
     sets = stored(found.mapInArrow(_sets(k), "cls binary, shingles array<bigint>"), "sets")
 
-    labels = nodes.select("cls", F.col("cls").alias("comp"))
-    edges = tried = None
-    for turn in range(STAR_ROUNDS + 1):
-        if turn < STAR_ROUNDS:
-            pairs = _round_pairs(buckets, labels, turn, one_each=turn == 0)
-        else:
-            pairs = _rest_pairs(buckets, labels)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        new = stored(_linked(pairs, sets, percent), "links")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        edges = new if edges is None else edges.unionAll(new)
-        labels = components(nodes, edges)
-    return labels
+    live = stored(_live(sets, percent), "live")
+    buckets = stored(buckets.join(shuffled(live), "cls"), "live_buckets")
+    pairs = stored(_star_pairs(buckets, percent), "pairs")
+    links = stored(_linked(pairs, sets, percent), "links")
+    labels = components(live, links)
+    rest = stored(_rest_pairs(buckets, labels, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    more = stored(_linked(rest, sets, percent), "more_links")
+    a, b = (labels.select(F.col("cls").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+    bridges = more.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    roots = components(labels.select(F.col("comp").alias("cls")).distinct(), bridges)
+    roots = roots.select(F.col("cls").alias("comp"), F.col("comp").alias("root"))
+    return labels.join(shuffled(roots), "comp").select("cls", F.col("root").alias("comp"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame:
@@ -182,9 +204,10 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
     (lower-cased A-Z). Candidates share a band of their min-max signatures; links are confirmed on whole sets.
     ``component_id`` is the smallest id of those that a document reaches over links, ``kept`` whether it is its own.
 
-    Documents of equal sets are one class and are never paired. Within a bucket, first all are compared with one
-    member, in rounds; then every two that are not in one component yet. So a large group of copies costs a few
-    comparisons for each member, and no link between different components is left out.
+    Documents of equal sets are one class and are never paired. A class most of whose shingles no other candidate has
+    can't be linked and drops out. Within a bucket, first all are compared with its most central member, then every
+    two that are not in one component yet and whose sizes and own shingles allow it. So a large group of copies costs
+    a few comparisons for each member, and no link between different components is left out.
 
     Null, empty and blank texts have no shingles and are components of their own. Null ids link like others but are
     never a ``component_id``; a component of null ids only has null and keeps all. Rows with one id are judged by
@@ -195,11 +218,13 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
     id_type = docs.schema["doc_id"].dataType.simpleString()
     signed = stored(given.mapInArrow(_signatures(k), f"doc_id {id_type}, _th bigint, {_SIGNED}"), "signed")
     some = signed.where("cls is not null")
-    labels = classes(some, docs, k, percent)
-    lowest = some.groupBy("cls").agg(F.min("doc_id").alias("low")).join(shuffled(labels), "cls", "left")
-    lowest = stored(lowest.select("cls", F.coalesce("comp", "cls").alias("comp"), "low"), "lowest")
-    roots = stored(lowest.groupBy("comp").agg(F.min("low").alias("component_id")), "roots")
-    of = stored(lowest.join(shuffled(roots), "comp").select("cls", "component_id"), "component_of")
+    with steps(docs.sparkSession) as kept:
+        labels = classes(some, docs, k, percent)
+        lowest = some.groupBy("cls").agg(F.min("doc_id").alias("low")).join(shuffled(labels), "cls", "left")
+        lowest = stored(lowest.select("cls", F.coalesce("comp", "cls").alias("comp"), "low"), "lowest")
+        roots = stored(lowest.groupBy("comp").agg(F.min("low").alias("component_id")), "roots")
+        of = stored(lowest.join(shuffled(roots), "comp").select("cls", "component_id"), "component_of")
+        kept.append(of)
     out = signed.join(shuffled(of), "cls", "left")
     root: Column = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
@@ -213,7 +238,9 @@ def near_duplicates(docs: DataFrame, k: int = 2, percent: int = 80) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, all columns; see ``near_duplicates``."""
-    gone = near_duplicates(docs, k, percent).where("not kept")
-    gone = stored(gone.select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).distinct(), "gone")
+    with steps(docs.sparkSession) as kept:
+        gone = near_duplicates(docs, k, percent).where("not kept")
+        gone = stored(gone.select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).distinct(), "gone")
+        kept.append(gone)
     rows = without(docs, ["_id", "_t"])
     return rows.join(shuffled(gone), same(F.col("doc_id"), F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left_anti")
