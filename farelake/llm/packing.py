@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import batched, chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ DIMENSIONS, BITS = 3, 10
 #: Tokens to a partition: small inputs take fewer partitions, large ones larger partitions.
 FEW_TOKENS, MANY_TOKENS = 4_000_000, 64_000_000
 #: Words whose ids a worker remembers; the frequent ones come early.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 
 _PIECES = "start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 
@@ -29,7 +30,7 @@ class WordIds:
     """Token ids of a text, encoded word by word: the tokenizer splits at white space, so words are independent.
 
     Words end at ASCII white space only; what else the tokenizer takes for a space stays inside of a word for it. It
-    also splits letters from what follows and ignores case, so a word of ASCII letters goes straight to the tokenizer's
+    also splits letters from what follows and ignores case, so a word of Latin letters goes straight to the tokenizer's
     model, and signs that end a word are looked up by themselves.
     """
 
@@ -37,47 +38,69 @@ class WordIds:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.in_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.type = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.known: dict[bytes, bytes] = {}
 
+    def _letters(self, stem: bytes) -> bytes | None:
+        """Ids of a word of Latin letters; None for any other."""
+        if stem.isalpha():
+            return self._ids(t.id for t in self.model.tokenize(stem.lower().decode()))
+        word = stem.decode()
+        low = word.lower()
+        if not low.isalpha() or max(word) > "\u024f" or not is_normalized("NFC", word):
+            return None
+        return self._ids(t.id for t in self.model.tokenize(self.in_bytes(low)[0][0]))
+
+    def _ids(self, ids: Iterable[int]) -> bytes:
+        return np.array(list(ids), self.type).tobytes()
+
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not known yet."""
         out: dict[bytes, bytes] = {}
         whole: list[bytes] = []
-        known, tokenize = self.known, self.model.tokenize
+        known = self.known
         for word in new:
             stem = word.rstrip(self.SIGNS)
             signs = word[len(stem) :]
-            if not stem.isalpha() or (signs and signs not in known and signs not in out):
-                whole.append(word)
-                continue
-            ids = known.get(stem) or out.get(stem)
+            after = b"" if not signs else known.get(signs) or out.get(signs)
+            ids = None
+            if after is not None and (stem.isalpha() or stem.decode().isalpha()):
+                ids = known.get(stem) or out.get(stem) or self._letters(stem)
             if ids is None:
-                ids = out[stem] = np.array([t.id for t in tokenize(stem.lower().decode())], self.type).tobytes()
-            if signs:
-                out[word] = ids + (known.get(signs) or out[signs])
+                whole.append(word)
+            else:
+                out[stem] = ids
+                out[word] = ids + after
         for start in range(0, len(whole), 2000):
             part = whole[start : start + 2000]
             # Signs are learnt by themselves, for the words that end in them.
             signs = {w[len(w.rstrip(self.SIGNS)) :] for w in part} - {b""} - set(part)
             part = [*part, *(x for x in signs if x not in known and x not in out)]
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            out.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(part, encoded, strict=True))
+            out.update((w, self._ids(e.ids)) for w, e in zip(part, encoded, strict=True))
         return out
 
     def encode(self, found: list[bytes | None]) -> list[np.ndarray]:
-        split = [text.split() if text else [] for text in found]
+        # The tokenizer ignores case, but for the names of its special tokens.
+        split = [(text if b"<|" in text else text.lower()).split() if text else [] for text in found]
         known = self.known
         new = self._learn(list({w for words in split for w in words if w not in known}))
         if len(known) < REMEMBERED:
             known.update(new)
             new = {}
         end = np.array([END], self.type).tobytes()
-        get = known.__getitem__ if not new else lambda w: known[w] if w in known else new[w]
-        return [np.frombuffer(b"".join(map(get, words)) + end, self.type) for words in split]
+        if not new:
+            get = known.__getitem__
+            return [np.frombuffer(b"".join(map(get, words)) + end, self.type) for words in split]
+        return [
+            np.frombuffer(b"".join([known[w] if w in known else new[w] for w in words]) + end, self.type)
+            for words in split
+        ]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}

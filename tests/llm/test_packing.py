@@ -56,6 +56,7 @@ def test_words_are_independent(tokenizer):
         "É é é ÀÉ. ß, ñandú; «oui», naïve… 中文字 жизнь Σίσυφος ΟΔΟΣ.",
         "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>, \x1c\x85   x ﻿ \x00 .",
         "!!! ,,, . ,. a, A, a. A. aa!! AA!! 7, 7. x7, 7x.",
+        "\x85 a\x85. \u2003 b\u2003 Straße, STRASSE. İstanbul ŉ, ǆ. ΣΑΣ. e\u0301t\u00e9, É! (é). »é«, 12. ½, ª.",
     ]
     encoder = packing.WordIds(PATH)
     for _ in range(2):  # new, then known
