@@ -140,8 +140,10 @@ def edited_texts(docs: DataFrame) -> DataFrame:
         F.col("k2").alias("p2"),
         F.floor(F.col("n_chars") / 4).cast("int").alias("give"),
     )
-    places = stored(order.join(shuffled(before), "rank").drop("doc_id"), "places")
-    here = keyed.dropDuplicates(["k1", "k2"]).join(shuffled(places), ["k1", "k2"])
+    places = stored(order.join(shuffled(before), "rank"), "places")
+    # Both uses take the same columns of the texts, so that Spark shuffles them once.
+    bodies = keyed.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
+    here = bodies.join(shuffled(places), ["k1", "k2"])
     prefixes = here.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.expr("left(text, give)").alias("prefix"))
     joined = here.join(shuffled(prefixes), ["k1", "k2"])
     edited = F.concat(F.expr("left(text, n_chars - floor(n_chars / 4))"), F.expr("left(prefix, floor(n_chars / 4))"))
