@@ -118,3 +118,30 @@ def test_query(spark, small, whole):
     for r in whole:
         assert prints.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
     assert sum(r.near_edited > r.near_next for r in whole) > 0.9 * len(whole)
+
+
+@pytest.mark.parametrize("n", [3000, 70_000])
+def test_levels_follow_long_texts(spark, n):
+    """Beyond 2^10 terms, and beyond the 16 bits that one hash has for a subset, a subset still keeps few terms."""
+    text = " ".join(f"t{i}" for i in range(n))
+    lexicon = spark.createDataFrame([(text,)], "body string").select(F.explode(F.split("body", " ")).alias("t"))
+    lexicon = lexicon.select(F.xxhash64("t").alias("h"))
+    rows = spark.createDataFrame([(1, text), (2, text + " more"), (None, "t1 t2 t3 t4 of")], "id long, body string")
+    got = {r.id: r for r in imatch.fingerprints(rows, ["id"], lexicon).collect()}
+    level = n.bit_length() - 1
+    assert got[1].level == got[2].level == level and got[1].parts == got[2].parts and got[None].level == 2
+
+    hashes = [F.xxhash64("h", F.lit(seed)) for seed in (1, 2, 4, 5, 3)]
+    bits = [[x % 2**64 for x in r] for r in lexicon.select(*hashes).collect()]
+    want = []
+    for up in range(level, level + imatch.USED):
+        for subset in range(imatch.SUBSETS):
+            low, high = ([r[i + subset // 4] >> (16 * (subset % 4)) & 0xFFFF for r in bits] for i in (0, 2))
+            inside = [r[4] for r, a, b in zip(bits, low, high, strict=True) if (a | b << 16) % (1 << up) == 0]
+            total = 0
+            for m in inside:
+                total ^= m
+            if inside:
+                assert len(inside) < 20
+                want.append(f"{up:02d}.{subset}:{total % 2**32:08x}")
+    assert got[1].parts == want
