@@ -263,7 +263,7 @@ def drop_repeats(docs: DataFrame, window: int = 20, whole: bool = True) -> DataF
     first; rows with equal id and text are one document that comes back as often as it came. Other columns are ignored,
     whatever their names; an empty table gives no rows.
     """
-    docs = docs.select("doc_id", "text").withColumn("_th", F.hash("text"))
+    docs = docs.select("doc_id", "text").withColumn("_th", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     with steps(docs.sparkSession) as kept:
         known = _known(docs, window, id_type)
@@ -277,7 +277,7 @@ def drop_repeats(docs: DataFrame, window: int = 20, whole: bool = True) -> DataF
 
 def _candidates(docs: DataFrame, window: int, id_type: str) -> DataFrame:
     """(``doc_id``, ``_th``, ``firsts``, ``counts``): for each document the runs of windows whose symbols are shared."""
-    symbols = f"key bigint, doc_id {id_type}, _th int, first int, windows int"
+    symbols = f"key bigint, doc_id {id_type}, _th bigint, first int, windows int"
     found = stored(docs.mapInArrow(_anchor_rows(window), symbols), "symbols")
     shared = stored(found.groupBy("key").count().where("count > 1").select("key"), "shared_symbols")
     spans = (
