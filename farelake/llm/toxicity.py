@@ -48,20 +48,45 @@ _LOOK = str.maketrans({pair[0]: pair[1] for pair in LOOKALIKES.split()})
 _SIGN = str.maketrans({pair[0]: pair[1] for pair in SIGNS.split()})
 _FOREIGN = re.compile("[ɐ-ʯͰ-ԯ！-～]")
 _WIDE = {code: code - 0xFEE0 for code in range(0xFF01, 0xFF5F)}
-_MIXED = re.compile(r"(?<!\S)[^\W\d_]*(?:[0-9@$!]+[^\W\d_]+)+(?!\w)")
+# A run of letters, digits and signs that has more than letters: what precedes its letters, the run between, what follows.
+_MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]*+[0-9@$!](?:[^\W_]|[@$!])*+")
+_PARTS = re.compile(r"([0-9@$!]*)((?:[^\W\d_].*)?[^\W\d_])(.*)", re.DOTALL)
+#: What stands for letters in each reading of a text: before a word 2 all digits and signs, 1 those from the first digit
+#: on, 0 none; after it 1 all, 0 none.
+READINGS = ((2, 1), (1, 1), (0, 1), (2, 0), (1, 0), (0, 0))
 _GAPS = re.compile(r"[\W\d_]+")
 
 
-def fold(text: str | None) -> str:
-    """Words in lower case between single spaces, with look-alike letters and digits in words as plain letters."""
+def fold(text: str | None, before: int = 2, after: int = 1) -> str:
+    """Words in lower case between single spaces, with look-alike letters and digits in words as plain letters.
+
+    Digits and signs before and after the letters of a word are letters of it, as ``READINGS`` has them, or no part of
+    it: so are "!" at its end, and all on one side if one of them stands for no letter, as in "covid19". All readings of
+    a text have the same number of words.
+    """
     out = (text or "").lower()
     if _FOREIGN.search(out):
         out = out.translate(_WIDE).translate(_LOOK).lower()
+
+    def plain(found: re.Match[str]) -> str:
+        parts = _PARTS.fullmatch(found[0])
+        if not parts:
+            return found[0]
+        lead = parts[1].lstrip("@$!") if before == 1 else parts[1]
+        lead, word, trail = (part.translate(_SIGN) for part in (lead, parts[2], parts[3].rstrip("!")))
+        return (lead if before and lead.isalpha() else " ") + word + (trail if after and trail.isalpha() else " ")
+
     if any(c.isdigit() or c in "@$!" for c in out):
-        out = _MIXED.sub(lambda m: m[0].translate(_SIGN), out)
+        out = _MIXED.sub(plain, out)
     return f" {_GAPS.sub(' ', out).strip()} "
 
 
+def readings(text: str | None) -> list[str]:
+    """The different outcomes of ``fold``, first the one with all signs as letters."""
+    first, least = fold(text), fold(text, 0, 0)
+    return [first] if first == least else list(dict.fromkeys([first, *[fold(text, *how) for how in READINGS], least]))
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Patterns (" word " or " beginning") with the level at which each counts, their weights, and benign phrases."""
@@ -90,29 +115,43 @@ class Matcher:
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def hits(self, folded: str) -> np.ndarray:
-        """Which entries a folded text reaches."""
+    def hits(self, folded: str, *others: str) -> np.ndarray:
+        """Which entries a folded text reaches; a pattern counts once for a word, in whichever readings it is there."""
         counts = np.zeros(len(self.patterns))
         if len(self.automaton) and len(self.patterns):
-            found = list(self.automaton.iter(folded))
-            benign = [(end - length + 1, end) for end, (i, length) in found if i < 0]
-            for end, (i, length) in found:
-                if i >= 0 and not any(a <= end - length + 1 and end <= b for a, b in benign):
-                    counts[i] += 1
+            rude, spared = set(), set()
+            for reading in (folded, *others):
+                found = list(self.automaton.iter(reading))
+                benign = [(end - length + 1, end) for end, (i, length) in found if i < 0]
+                at = word = 0
+                for start, end, i in sorted((end - length + 1, end, i) for end, (i, length) in found if i >= 0):
+                    word, at = word + reading.count(" ", at, start), start
+                    inside = any(a <= start and end <= b for a, b in benign)
+                    (spared if inside else rude).add((i, word))
+            for i, _ in rude - spared:
+                counts[i] += 1
         each = counts[self.column] if len(self.column) else counts
         words = max(1, folded.count(" ") - 1)
         return (each >= self.least) & (each >= self.rate * words)
 
 
-def candidates(folded: str) -> set[tuple[str, int]]:
-    """Entries that a text could support: its words, and the beginnings of its words, at the levels that they reach."""
+def _patterns(word: str) -> list[str]:
+    return [f" {word} ", *[f" {word[:size]}" for size in BEGINNINGS if size < len(word)]]
+
+
+def candidates(folded: str, *others: str) -> set[tuple[str, int]]:
+    """Entries that a text could support: its words, and the beginnings of its words, at the levels that they reach.
+    Of a word with several readings each pattern counts once."""
     found = folded.split()
     counts: Counter[str] = Counter()
     for word, n in Counter(found).items():
-        counts[f" {word} "] += n
-        for size in BEGINNINGS:
-            if size < len(word):
-                counts[f" {word[:size]}"] += n
+        for pattern in _patterns(word):
+            counts[pattern] += n
+    if others:
+        for forms in zip(found, *[other.split() for other in others], strict=True):
+            if len(set(forms)) > 1:
+                own = set(_patterns(forms[0]))
+                counts.update({p for form in set(forms) for p in _patterns(form)} - own)
     out = set()
     for pattern, n in counts.items():
         for level, (least, rate) in enumerate(LEVELS):
@@ -125,7 +164,7 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in slices(batches, 16):
         patterns, levels, toxic = [], [], []
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            for pattern, level in candidates(fold(text)):
+            for pattern, level in candidates(*readings(text)):
                 patterns.append(pattern)
                 levels.append(level)
                 toxic.append(label)
@@ -137,7 +176,7 @@ def _hit_rows(entries: tuple[tuple[str, int], ...], exceptions: tuple[str, ...])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(entries, exceptions)
         for batch in slices(batches, 256):
-            packed = [np.packbits(matcher.hits(fold(t))).tobytes() for t in batch.column("text").to_pylist()]
+            packed = [np.packbits(matcher.hits(*readings(t))).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(packed, pa.binary())], ["toxic", "hits"]
             )
@@ -197,7 +236,7 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD)
         matcher = Matcher(entries, exceptions)
         for batch in slices(batches, 256):
             texts = batch.column("text").to_pylist()
-            score = np.array([float(sigmoid(np.array(bias + weights[matcher.hits(fold(t))].sum()))) for t in texts])
+            score = np.array([float(sigmoid(np.array(bias + weights[matcher.hits(*readings(t))].sum()))) for t in texts])
             columns = [batch.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted"])
 

@@ -66,3 +66,32 @@ def test_held_out_accuracy(scored):
     assert np.mean(a[:, None] > b[None, :]) + 0.5 * np.mean(a[:, None] == b[None, :]) > 0.93
     assert held[held.predicted == 1].toxic.mean() > 0.97
     assert held[held.toxic == 1].predicted.mean() > 0.8
+
+
+def test_substitutes_at_the_ends_and_behind_signs():
+    forms = {
+        "garbag3": "garbage",
+        "g4rb4g3": "garbage",
+        "usele55": "useless",
+        "worthle55": "worthless",
+        "(1diot)": "idiot",
+        '"st00pid': "stoopid",
+        "-idi0t": "idiot",
+        "_idi0t_": "idiot",
+        "(idi0t!!)": "idiot",
+        "usele55!": "useless",
+        "covid19": "covid",
+    }
+    assert {form: fold(form).strip() for form in forms} == forms
+
+
+def test_signs_that_may_be_no_letters():
+    matcher = Matcher(RUDE.entries, RUDE.exceptions)
+    for text in ("idiot5", "(@idiot", "idiot$$$", "@1diot5", "#1idiot", "an idi0t!1!1"):
+        assert matcher.hits(*toxicity.readings(text))[0], text
+    assert not any(matcher.hits(*toxicity.readings("a clown5 fish3, the trash can1")))
+    # A word is counted once, however many readings have the pattern.
+    assert not matcher.hits(*toxicity.readings("badly5 " + "word " * 5))[3]
+    assert len({len(t.split()) for t in toxicity.readings("a2$ 9b5 $c$ 2x5x2 19 u5 @b2b@ x!y! ٣z5")}) == 1
+    found = toxicity.candidates(*toxicity.readings("stupid5 day"))
+    assert {(" stupid ", 0), (" stupids ", 0), (" day ", 0)} <= found
