@@ -1,0 +1,103 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from farelake.llm import exactdedup
+
+
+def normal(text):
+    return re.sub("[\x20\x09-\x0d]+", " ", text or "")
+
+
+def by_hand(rows):
+    """For each id and text: id that stays, size of the group; and how many rows stay in all."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[normal(text)].append(i)
+    found = []
+    for text, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        found += [(i, keep, len(ids), digest) for i in ids]
+    return sorted(found, key=repr), len(groups)
+
+
+def written(df, folder, files=3):
+    df.repartition(files).write.mode("append").parquet(str(folder))
+    return str(folder)
+
+
+def told(found):
+    rows = found.select("doc_id", "keep_id", "group_size", F.lower(F.hex("digest"))).collect()
+    return sorted(map(tuple, rows), key=repr), found.where("kept").count()
+
+
+def test_equals_brute_force_over_several_batches(spark, edge, edge_rows, tmp_path):
+    path = written(edge, tmp_path / "docs")
+    found = exactdedup.exact_duplicates(spark, path, batch={"maxFilesPerTrigger": "1"})
+    assert told(found) == by_hand(edge_rows)
+
+
+def test_one_row_of_a_group_stays_and_it_has_the_smallest_id(spark, edge, tmp_path):
+    found = exactdedup.exact_duplicates(spark, written(edge, tmp_path / "docs"))
+    groups = found.groupBy("digest").agg(F.sum(F.col("kept").cast("int")).alias("stay"))
+    assert groups.where("stay <> 1").isEmpty()
+    assert found.where("kept and not (doc_id <=> keep_id)").isEmpty()
+
+
+def test_state_goes_on_where_it_ended(spark, edge, edge_rows, tmp_path):
+    path, folder = tmp_path / "docs", str(tmp_path / "state")
+    written(edge.where("doc_id > 5"), path, 1)
+    first = exactdedup.exact_duplicates(spark, str(path), folder)
+    assert told(first) == by_hand([r for r in edge_rows if r[0] is not None and r[0] > 5])
+    written(edge.where("doc_id <= 5 or doc_id is null"), path, 2)
+    second = exactdedup.exact_duplicates(spark, str(path), folder)
+    assert told(second) == by_hand(edge_rows)
+    # The second call's batches hold the rows of the new files alone: the rest comes out of the state.
+    batches = spark.read.parquet(f"{folder}/changes").where("batch > 0")
+    assert batches.count() < first.select("digest").distinct().count() + second.select("digest").distinct().count()
+    assert batches.groupBy("batch").count().count() >= 1
+
+
+def test_state_is_on_disk_and_never_expires(spark, edge, tmp_path):
+    path, folder = written(edge, tmp_path / "docs"), str(tmp_path / "state")
+    found = exactdedup.exact_duplicates(spark, path, folder)
+    state = spark.read.format("statestore").load(f"{folder}/checkpoint")
+    assert state.count() == found.select("digest").distinct().count()
+    metadata = spark.read.format("state-metadata").load(f"{folder}/checkpoint").first()
+    assert metadata["numPartitions"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("letters", [0, 1])
+def test_equal_digests_of_unlike_texts_are_told_apart_by_their_bytes(spark, edge, edge_rows, tmp_path, letters):
+    def poor(text):
+        return F.substring(F.sha2(text, 256), 1, letters).cast("binary")
+
+    found = exactdedup.exact_duplicates(spark, written(edge, tmp_path / "docs"), digest=poor)
+    want, stay = by_hand(edge_rows)
+    have = sorted(map(tuple, found.select("doc_id", "keep_id", "group_size").collect()), key=repr)
+    assert have == sorted((r[:3] for r in want), key=repr)
+    assert found.where("kept").count() == stay
+
+
+def test_empty_table(spark, empty, tmp_path):
+    assert exactdedup.exact_duplicates(spark, written(empty, tmp_path / "docs", 1)).collect() == []
+
+
+def test_kept_rows_have_all_columns(spark, edge, edge_rows, tmp_path):
+    left = exactdedup.drop_copies(spark, written(edge.withColumn("_metadata", F.lit(1)), tmp_path / "docs"))
+    assert left.columns == [*edge.columns, "_metadata"]
+    texts = [normal(r["text"]) for r in left.collect()]
+    assert len(texts) == len(set(texts)) == by_hand(edge_rows)[1]
+
+
+def test_a_third_of_the_rows_equal(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the  same").otherwise(F.col("id").cast("string")).alias("text")
+    )
+    found = exactdedup.exact_duplicates(spark, written(rows, tmp_path / "docs", 8))
+    assert found.where("group_size = 1000 and keep_id = 0").count() == 1000
+    assert found.where("kept").count() == 2001

@@ -1,0 +1,146 @@
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from farelake.llm import periodic, queries
+
+
+def runs_by_hand(words):
+    """Every maximal stretch of each period that isn't one of a smaller period."""
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        start = 0
+        while start < n - q:
+            end = start
+            while end < n - q and words[end] == words[end + q]:
+                end += 1
+            if end > start and end + q - start >= max(24, 3 * q):
+                found.setdefault((start, end + q), q)
+            start = end + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed_by_hand(words, runs):
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted(doc_id, text):
+    words = (text or "").split() if text is None or text.isascii() else text.encode().split()
+    words = [w.decode() if isinstance(w, bytes) else w for w in words]
+    if doc_id is None:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def row_by_hand(doc_id, text):
+    words = planted(doc_id, text)
+    runs = runs_by_hand(words)
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    s, length, q = best or (None, None, None)
+    milli = 1000 * length // q if best else None
+    told = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    digests = (hashlib.sha256(x.encode()).hexdigest() for x in (told, collapsed_by_hand(words, runs)))
+    return doc_id, len(runs), s, length, q, milli, *digests
+
+
+def scanned(words):
+    names = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    codes = np.array([names[w] for w in words], np.int64)
+    return [
+        (start + s, length, q)
+        for start, end in periodic.segments(codes, np.array([len(codes)]))
+        for s, length, q in periodic.lag_scan(codes[start:end])
+    ]
+
+
+pieces = st.lists(
+    st.tuples(st.lists(st.sampled_from("abcd"), min_size=1, max_size=9), st.integers(1, 30), st.integers(0, 9)), max_size=5
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(pieces)
+def test_runs_of_made_words(made):
+    words = [w for piece, times, rest in made for w in (piece * (times + 1))[: len(piece) * times + rest]]
+    assert sorted(scanned(words)) == runs_by_hand(words)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 40])
+def test_runs_of_random_words(letters):
+    r = random.Random(letters)
+    for n in (0, 1, 23, 24, 25, 300, 700):
+        for _ in range(8):
+            words = [r.randrange(letters) for _ in range(n)]
+            if n > 100:
+                at, q = r.randrange(n - 90), r.randrange(1, 30)
+                words[at : at + 90] = [words[at + i % q] for i in range(90)]
+            assert sorted(scanned(words)) == runs_by_hand(words), words
+
+
+def test_fibonacci_and_thue_morse_words():
+    a, b = "a", "ab"
+    while len(b) < 800:
+        a, b = b, b + a
+    thue = [bin(i).count("1") % 2 for i in range(4096)]
+    assert sorted(scanned(b)) == runs_by_hand(b)
+    assert scanned(thue) == []
+
+
+def test_rare_words_split_until_nothing_changes():
+    run = [f"r{k}" for k in range(10)] * 3
+    words = ["x", "y"] * 5 + ["z"] + run + ["z", *"xyxyxyxy"]
+    codes = np.unique(words, return_inverse=True)[1]
+    found = periodic.segments(codes, np.array([len(words)]))
+    # z occurs twice and parts the text; what is beside it is too short then.
+    assert found == [(11, 41)]
+
+
+def test_long_text_of_one_word_is_no_quadratic_work():
+    assert scanned(["a"] * 300_000) == [(0, 300_000, 1)]
+
+
+def test_query_equals_brute_force(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    have = [tuple(r) for r in queries.period_runs(spark, small).collect()]
+    want = [row_by_hand(*r) for r in rows]
+    assert sorted(have) == sorted(want)
+    assert sum(r[1] for r in want) > 0
+
+
+def test_edges(spark, edge, edge_rows):
+    found = periodic.periodic_runs(edge)
+    assert set(found.columns) == {*edge.columns, "n_words", "runs", "collapsed"} - {"text"}
+    have = [
+        (r["doc_id"], r["n_words"], [(x["start"], x["length"], x["period"]) for x in r["runs"]], r["collapsed"])
+        for r in found.collect()
+    ]
+    want = []
+    for i, text in edge_rows:
+        words = [w.decode() for w in (text or "").encode().split()]
+        runs = runs_by_hand(words) if len(words) < 5000 else []
+        want.append((i, len(words), runs, collapsed_by_hand(words, runs)))
+    assert sorted(have, key=repr) == sorted(want, key=repr)
+
+
+def test_empty_table(spark, empty):
+    assert periodic.periodic_runs(empty).collect() == []
+
+
+def test_strongest_run_is_compared_exactly(spark):
+    big = 10**15
+    runs = [(5, 3 * big + 1, big), (9, 3 * 10**3, 10**3), (11, 3 * big + 1, big)]
+    df = spark.createDataFrame([(runs,), ([],)], "runs array<struct<start:bigint,length:bigint,period:bigint>>")
+    assert [r[0] and r[0]["start"] for r in df.select(periodic.strongest(df["runs"])).collect()] == [5, None]
