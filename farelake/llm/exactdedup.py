@@ -16,18 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from farelake.streaming.state import disk_state
+
 from .common import GAP, scratch, shuffled, steps, stored
 
 #: Bytes of files that one batch of the stream takes.
 BATCH_BYTES = 256 << 30
-_STATE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
-}
 _ENTRY = "digest binary, keep struct<unnamed:boolean,doc_id:{0},file:bigint,row:bigint>, group_size bigint"
 
 
@@ -81,9 +75,6 @@ def follow(
     Each batch writes the entries that it changed to ``folder/changes``, by its number, so a batch that runs again
     replaces its own. ``batch`` holds the file source's limits of a batch (``maxBytesPerTrigger``,
     ``maxFilesPerTrigger``)."""
-    before = {key: spark.conf.get(key, None) for key in _STATE}
-    for key, value in _STATE.items():
-        spark.conf.set(key, value)
     source = spark.readStream.schema(_documents(spark, path))
     source = source.options(**(batch or {"maxBytesPerTrigger": str(BATCH_BYTES)}))
     rows = _located(source.parquet(_pattern(path)), digest).drop("whole")
@@ -92,7 +83,7 @@ def follow(
     def changed(entries: DataFrame, number: int) -> None:
         entries.write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
 
-    try:
+    with disk_state(spark):
         query = (
             entries.writeStream.outputMode("update")
             .foreachBatch(changed)
@@ -100,12 +91,6 @@ def follow(
             .trigger(availableNow=True)
             .start()
         )
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
     try:
         query.awaitTermination()
     finally:
