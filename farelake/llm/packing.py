@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import batched, chain
-from unicodedata import is_normalized
+import json
+from collections.abc import Iterator
+from functools import reduce
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,89 +20,184 @@ SEQUENCE = 2048
 END = 1
 #: Dimensions and bits of the space that the curve fills.
 DIMENSIONS, BITS = 3, 10
+#: Words of letters that a worker remembers, some 20 bytes each.
+REMEMBERED = 1_000_000
 #: Tokens to a partition: small inputs take fewer partitions, large ones larger partitions.
-FEW_TOKENS, MANY_TOKENS = 4_000_000, 64_000_000
-#: Words whose ids a worker remembers; the frequent ones come early.
-REMEMBERED = 1_200_000
+FEW_TOKENS, MANY_TOKENS = 4_000_000, 32_000_000
 
 _PIECES = "start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 
 
+#: How a tokenizer prepares texts whose words may be encoded one by one.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+#: Latin letters that composing leaves alone and that stay letters in lower case.
+LATIN = [chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c).lower().isalpha()]
+
+
 class WordIds:
-    """Token ids of a text, encoded word by word: the tokenizer splits at white space, so words are independent.
+    """Token ids of texts.
 
-    Words end at ASCII white space only; what else the tokenizer takes for a space stays inside of a word for it. It
-    also splits letters from what follows and ignores case, so a word of Latin letters goes straight to the tokenizer's
-    model, and signs that end a word are looked up by themselves.
+    A tokenizer that composes letters, ignores case and drops white space treats words by themselves, so each different
+    word of a batch is encoded once. Words end at ASCII white space only; what else the tokenizer takes for a space
+    stays inside of a word for it. Words of Latin letters need no more than the tokenizer's model, and the signs that
+    end a word are encoded by themselves. Only words of letters are remembered, so what a text gives depends on it alone.
+    Of any other tokenizer whole texts are encoded.
     """
 
-    SIGNS = b"%#$&*!.,|"
+    SIGNS = "%#$&*!.,|"
+    #: Words whose ids are gathered at once.
+    CHUNK = 1 << 18
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.in_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.type = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
-        self.known: dict[bytes, bytes] = {}
-
-    def _letters(self, stem: bytes) -> bytes | None:
-        """Ids of a word of Latin letters; None for any other."""
-        if stem.isalpha():
-            return self._ids(t.id for t in self.model.tokenize(stem.lower().decode()))
-        word = stem.decode()
-        low = word.lower()
-        if not low.isalpha() or max(word) > "\u024f" or not is_normalized("NFC", word):
-            return None
-        return self._ids(t.id for t in self.model.tokenize(self.in_bytes(low)[0][0]))
-
-    def _ids(self, ids: Iterable[int]) -> bytes:
-        return np.array(list(ids), self.type).tobytes()
-
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not known yet."""
-        out: dict[bytes, bytes] = {}
-        whole: list[bytes] = []
-        known = self.known
-        for word in new:
-            stem = word.rstrip(self.SIGNS)
-            signs = word[len(stem) :]
-            after = b"" if not signs else known.get(signs) or out.get(signs)
-            ids = None
-            if after is not None and (stem.isalpha() or stem.decode().isalpha()):
-                ids = known.get(stem) or out.get(stem) or self._letters(stem)
-            if ids is None:
-                whole.append(word)
-            else:
-                out[stem] = ids
-                out[word] = ids + after
-        for start in range(0, len(whole), 2000):
-            part = whole[start : start + 2000]
-            # Signs are learnt by themselves, for the words that end in them.
-            signs = {w[len(w.rstrip(self.SIGNS)) :] for w in part} - {b""} - set(part)
-            part = [*part, *(x for x in signs if x not in known and x not in out)]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            out.update((w, self._ids(e.ids)) for w, e in zip(part, encoded, strict=True))
-        return out
+        parts = json.loads(self.tokenizer.to_str())
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix) and self._splits_words(parts)
+        if self.by_word:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+            # The model alone, which sees each byte as a letter of its own.
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = CharDelimiterSplit(" ")
+            in_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.letters = np.full(256, ord(" "), np.uint32)
+            for letter in LATIN:
+                self.letters[list(letter.encode())] = [ord(x) for x in in_bytes(letter)[0][0]]
+            self.known = pa.array([], pa.string())
+            self.known_ids, self.known_sizes = np.zeros(0, self.type), np.zeros(0, np.int64)
+
+    @staticmethod
+    def _splits_words(parts: dict) -> bool:
+        first, *rest = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        in_bytes = [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in rest if x["type"] == "ByteLevel"]
+        return (
+            parts["normalizer"] == NORMALIZER
+            and parts["post_processor"] is None
+            and (first.get("type"), first.get("behavior"), first.get("invert")) == ("Split", "Removed", True)
+            and first["pattern"] == {"Regex": PIECES}
+            and len(rest) == 1
+            and in_bytes == [("ByteLevel", False, False)]
+            and all("<|" in token["content"] and not token["normalized"] for token in parts["added_tokens"])
+            and not any(set(token["content"]) & set(" \t\n\v\f\r") for token in parts["added_tokens"])
+        )
+
+    def _whole(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one behind the other, and how many each has."""
+        ids = [
+            e.ids
+            for start in range(0, len(found), 2000)
+            for e in self.tokenizer.encode_batch_fast(found[start : start + 2000], add_special_tokens=False)
+        ]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), self.type, sizes.sum()), sizes
+
+    def _plain(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, how many each has, and the pieces that are these different words of Latin letters."""
+        at = pc.index_in(stems, value_set=self.known)
+        new = stems.filter(pc.is_null(at))
+        ids, sizes = self._of_letters(new)
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        ids, sizes = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_sizes, sizes])
+        if len(sizes) <= REMEMBERED:
+            self.known, self.known_ids, self.known_sizes = pa.concat_arrays([self.known, new]), ids, sizes
+        return ids, sizes, place
+
+    def _of_letters(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of Latin letters and how many each has: one text of all, cut behind each token that ends a
+        word."""
+        if not len(stems):
+            return np.zeros(0, self.type), np.zeros(0, np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(stems)], pa.int32()), stems), " ")[0].as_py()
+        letters = np.frombuffer(joined.lower().encode(), np.uint8)
+        prepared = self.letters[letters].tobytes().decode("utf-32-le")
+        ids = np.array(self.model.encode_batch_fast([prepared])[0].ids, self.type)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words and how many each has: those of a stem, then those of the signs behind it."""
+        stems = pc.utf8_rtrim(words, characters=self.SIGNS)
+        plain = pc.match_substring_regex(stems, f"^[{''.join(LATIN)}]+$")
+        bare = stems.filter(plain).dictionary_encode()
+        signs = _behind(words.filter(plain), stems.filter(plain)).dictionary_encode()
+        others = words.filter(pc.invert(plain))
+        stem_ids, stem_sizes, place = self._plain(bare.dictionary)
+        sign_ids, sign_sizes = self._whole(signs.dictionary.to_pylist())
+        other_ids, other_sizes = self._whole(others.to_pylist())
+        ids = np.concatenate([stem_ids, sign_ids, other_ids])
+        # Two pieces to each word; behind a word that is encoded whole comes an empty one, the last of all.
+        sizes = np.concatenate([stem_sizes, sign_sizes, other_sizes, [0]])
+        mask = plain.to_numpy(zero_copy_only=False)
+        pair = np.full((len(words), 2), len(sizes) - 1)
+        pair[mask, 0] = place[bare.indices.to_numpy()]
+        pair[mask, 1] = len(stem_sizes) + signs.indices.to_numpy()
+        pair[~mask, 0] = len(stem_sizes) + len(sign_sizes) + np.arange(len(others))
+        return self._gathered(ids, sizes, pair.ravel()), sizes[pair].sum(axis=1)
+
+    def _gathered(self, ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """``ids`` of pieces of ``sizes``, in another order of the pieces."""
+        begin = np.cumsum(sizes) - sizes
+        out = []
+        for start in range(0, len(order), self.CHUNK):
+            chosen = order[start : start + self.CHUNK]
+            each = sizes[chosen]
+            out.append(ids[np.arange(each.sum()) + np.repeat(begin[chosen] - (np.cumsum(each) - each), each)])
+        return np.concatenate(out) if out else ids[:0]
+
+    @staticmethod
+    def _words(column: pa.Array) -> pa.ListArray:
+        text = pc.fill_null(column.cast(pa.binary()).view(pa.string()), "")
+        # Case is ignored, but for the names of special tokens, and for letters before a combining mark (U+0300 on): a
+        # capital may compose with it to another letter than a small one does.
+        raw = text.view(pa.binary())
+        as_is = reduce(pc.or_, [pc.match_substring(raw, part) for part in (b"<|", b"\xcc", b"\xcd")])
+        return pc.ascii_split_whitespace(pc.if_else(as_is, text, pc.ascii_lower(text)))
+
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, one behind the other and each with the closing one, and where each begins and
+        the last ends."""
+        if self.by_word:
+            split = self._words(column)
+            coded = split.flatten().dictionary_encode()
+            ids, sizes = self._distinct(coded.dictionary)
+            counts, words = np.diff(split.offsets.to_numpy()), coded.indices.to_numpy()
+        else:
+            ids, sizes = self._whole([(text or b"").decode() for text in texts(column)])
+            counts, words = np.ones(len(column), np.int64), np.arange(len(column))
+        # The closing id is one more word at the end of each text.
+        words = np.insert(words.astype(np.int64), np.cumsum(counts), len(sizes))
+        ids, sizes = np.append(ids, np.array(END, self.type)), np.append(sizes, 1)
+        ends = np.cumsum(sizes[words])[np.cumsum(counts + 1) - 1]
+        return self._gathered(ids, sizes, words), np.concatenate([[0], ends])
 
     def encode(self, found: list[bytes | None]) -> list[np.ndarray]:
-        # The tokenizer ignores case, but for the names of its special tokens.
-        split = [(text if b"<|" in text else text.lower()).split() if text else [] for text in found]
-        known = self.known
-        new = self._learn(list({w for words in split for w in words if w not in known}))
-        if len(known) < REMEMBERED:
-            known.update(new)
-            new = {}
-        end = np.array([END], self.type).tobytes()
-        if not new:
-            get = known.__getitem__
-            return [np.frombuffer(b"".join(map(get, words)) + end, self.type) for words in split]
-        return [
-            np.frombuffer(b"".join([known[w] if w in known else new[w] for w in words]) + end, self.type)
-            for words in split
-        ]
+        ids, starts = self.flat(pa.array(found, pa.binary()))
+        return [ids[a:b] for a, b in pairwise(starts.tolist())]
+
+
+def _behind(words: pa.Array, stems: pa.Array) -> pa.Array:
+    """What each word has behind its stem: its last bytes."""
+    sizes = pc.binary_length(words).to_numpy().astype(np.int64)
+    rest = sizes - pc.binary_length(stems).to_numpy()
+    every = np.frombuffer("".join(words.to_pylist()).encode(), np.uint8)
+    ends = np.cumsum(rest)
+    data = every[np.arange(rest.sum()) + np.repeat(np.cumsum(sizes) - ends, rest)]
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.StringArray.from_buffers(len(words), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -112,15 +209,16 @@ def _word_ids(path: str) -> WordIds:
     return _TOKENIZERS[path]
 
 
-def projected(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Mean over a document's tokens of their hashed directions."""
-    return table[ids].mean(axis=0)
+def projected(ids: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Mean over each document's tokens of their hashed directions: sums of whole numbers, whatever comes before."""
+    sums = np.add.reduceat(table[ids], starts[:-1], axis=0, dtype=np.int64)
+    return sums / np.diff(starts)[:, None]
 
 
 def directions(vocabulary: int) -> np.ndarray:
     """For each token a hashed direction of -1 and 1."""
     bits = mix(np.arange(vocabulary, dtype=np.uint64) + np.uint64(1))[:, None] >> np.arange(DIMENSIONS, dtype=np.uint64)
-    return ((bits & np.uint64(1)).astype(np.float32)) * 2 - 1
+    return (bits & np.uint64(1)).astype(np.int8) * 2 - 1
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -151,20 +249,30 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+def _bounded(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut to so many rows and, where it takes more than one row, bytes of text."""
+    for batch in slices(batches, rows):
+        while batch.num_rows > 1 and batch.column("text").nbytes > size:
+            yield batch.slice(0, batch.num_rows // 2)
+            batch = batch.slice(batch.num_rows // 2)
+        if batch.num_rows:
+            yield batch
+
+
 def _tokenised(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _word_ids(path)
         table = directions(encoder.tokenizer.get_vocab_size())
-        for batch in slices(batches, 256):
-            ids = encoder.encode(texts(batch.column("text")))
-            means = np.array([projected(i, table) for i in ids])
+        for batch in _bounded(batches):
+            ids, starts = encoder.flat(batch.column("text"))
+            means = projected(ids, starts, table)
             cells = np.clip((means + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array(np.diff(starts)),
                     pa.array(hilbert(cells)),
-                    pa.array([i.tobytes() for i in ids], pa.binary()),
+                    pa.array([ids[a:b].tobytes() for a, b in pairwise(starts.tolist())], pa.binary()),
                 ],
                 ["doc_id", "doc_tokens", "curve", "tokens"],
             )
@@ -245,7 +353,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, length: int = SEQUENCE) ->
 
     Null and empty texts have the closing token only. Documents on one point of the curve go by id (null first) and
     tokens; equal rows are documents of their own. Other columns are ignored, whatever their names; an empty table gives
-    no rows. ``sequence_id`` has the partition above its fortieth bit.
+    no rows. ``sequence_id`` has the partition above its fortieth bit. Small tables are cut into no more partitions than
+    ``spark.sql.shuffle.partitions``, so another setting may deal the pieces to other sequences.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").mapInArrow(
@@ -256,7 +365,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, length: int = SEQUENCE) ->
     usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(-(-total // MANY_TOKENS), min(usual, -(-total // FEW_TOKENS)), 1)
     order = ["curve", "doc_id", F.crc32("tokens"), "tokens"]
-    along = rows.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order)
+    # Equal rows may go to several ranges.
+    spread = F.xxhash64(F.monotonically_increasing_id())
+    along = rows.repartitionByRange(parts, *order[:3], spread).sortWithinPartitions(*order)
     along = along.select("doc_id", "tokens", F.spark_partition_id().alias("_part"))
     kind = _word_ids(vocabulary).type.str
     return along.mapInArrow(_packed(length, kind), f"doc_id {id_type}, {_PIECES}")

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -102,3 +103,47 @@ def test_query(spark, small, tokenizer):
     for p in queries.packing_query(spark, small).collect():
         ids = docs[p.doc_id][p.start : p.start + p.length]
         assert p.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+ODD = [
+    *"HTJWhtjwAaEeIiSsKk",
+    *"̸̱̣̈̌̊́̇ͅ",
+    *"İıſẞßŉǅKÅΣςª½中ﬁ",
+    *"%#$&*!.,|<>='-",
+    *" \t\n\x0b\u0085  ​",
+    *"0179",
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_marks_cases_and_signs_in_any_order(tokenizer, seed):
+    r = random.Random(seed)
+    texts = ["".join(r.choice(ODD) for _ in range(r.randrange(1, 9))) for _ in range(30_000)]
+    texts += ["H̱c", "İ#", "İ", "İ#", "T̈.", "Å!", "'S 'll", "a<|endoftext|>B", "<|endofTEXT|>"]
+    want = {t: ids_of(tokenizer, t) for t in set(texts)}
+    for _ in range(3):
+        r.shuffle(texts)
+        encoder = packing.WordIds(PATH)
+        assert encoder.by_word
+        for start in range(0, len(texts), 5000):
+            part = texts[start : start + 5000]
+            for text, ids in zip(part, encoder.encode([t.encode() for t in part]), strict=True):
+                assert ids.tolist() == want[text], (text, [hex(ord(c)) for c in text])
+
+
+def test_what_is_not_split_at_words_is_encoded_whole(edge, edge_rows):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not packing.WordIds(path).by_word
+    check(packing.pack_documents(edge, path).collect(), edge_rows, Tokenizer.from_file(path))
+
+
+def test_equal_rows_go_to_several_tasks(spark, tokenizer):
+    rows = [(7, "one text " * 40)] * 3000 + [(k, f"text {k} " * 30) for k in range(10, 1500)]
+    before = packing.FEW_TOKENS
+    packing.FEW_TOKENS = 20_000
+    try:
+        pieces = packing.pack_documents(made(spark, rows).repartition(8), PATH).collect()
+    finally:
+        packing.FEW_TOKENS = before
+    check(pieces, rows, tokenizer)
+    assert len({p.sequence_id >> 40 for p in pieces if p.doc_id == 7}) > 1
