@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import argparse
 import json
+from functools import partial
 from pathlib import Path
 
 from farelake.plans.batch import export_tables, run_batch, run_marts_from_database
+from farelake.plans.loads import load_trips
 from farelake.plans.stream import StreamTargets, run_replay, run_stream
 from farelake.session import build_session
 from farelake.sinks.streams import land_partitioned, land_text
+from farelake.sinks.tables import summary_of
 from farelake.sources.envelope import decode_envelope
-from farelake.sources.files import read_zones, replay_trips
+from farelake.sources.files import read_trips, read_zones, replay_file_names, replay_trips
 from farelake.sources.jdbc import read_table
 from farelake.sources.kafka import read_kafka
 
@@ -27,6 +30,10 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--root", required=True)
     batch.add_argument("--calendar", choices=["derive", "join"], default="derive")
     batch.add_argument("--by-month", action="store_true", help="store the fact in a folder per pickup month")
+    batch.add_argument("--clustered", action="store_true", help="deal the fact to files by ranges of its sort key")
+    batch.add_argument("--dense-keys", action="store_true", help="count the fact's surrogate key from 0 in its order")
+    batch.add_argument("--load", help="name of this load: add its trips to those of other loads")
+    batch.add_argument("--mixed-types", action="store_true", help="columns of the files differ in physical type")
 
     export = jobs.add_parser("export", help="stored tables -> database")
     export.add_argument("--root", required=True)
@@ -42,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     marts.add_argument("--properties", required=True, help="JSON file with user, password and driver")
     marts.add_argument("--prefix", default="")
     marts.add_argument("--partitions", type=int, default=8, help="parallel reads of the large tables")
+    marts.add_argument("--split", choices=["ranges", "quantiles"], default="ranges", help="of time, or of rows")
     marts.add_argument("--root", required=True)
 
     def topic(job: argparse.ArgumentParser, reads: bool = True) -> None:
@@ -79,6 +87,7 @@ def _parser() -> argparse.ArgumentParser:
     replay.add_argument("--max-files", type=int)
     replay.add_argument("--max-bytes", type=int)
     replay.add_argument("--oldest-first", action="store_true")
+    replay.add_argument("--mixed-types", action="store_true", help="columns of the files differ in physical type")
     replay.add_argument("--interval", default="10 seconds")
 
     land = jobs.add_parser("land", help="topic -> files by pickup day, or text files")
@@ -95,7 +104,22 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"farelake-{args.job}", args.time_zone)
     if args.job == "batch":
-        run = run_batch(spark, args.trips, args.zones, args.root, args.calendar, args.by_month)
+        if args.load:
+            trips = read_trips(spark, args.trips, args.mixed_types)
+            rows = load_trips(spark, trips, read_zones(spark, args.zones), args.root, args.load)
+            summary_of(spark, rows).show(truncate=False)
+            return
+        run = run_batch(
+            spark,
+            args.trips,
+            args.zones,
+            args.root,
+            args.calendar,
+            args.by_month,
+            args.mixed_types,
+            args.clustered,
+            args.dense_keys,
+        )
         run.summary.show(truncate=False)
         return
     if args.job == "export":
@@ -113,14 +137,13 @@ def main(argv: list[str] | None = None) -> None:
         return
     if args.job == "marts":
         properties = json.loads(Path(args.properties).read_text())
-        run = run_marts_from_database(spark, args.url, properties, args.root, args.prefix, args.partitions)
+        run = run_marts_from_database(spark, args.url, properties, args.root, args.prefix, args.partitions, args.split)
         run.summary.show(truncate=False)
         return
     if args.job == "replay":
         files = args.max_files if args.max_files or args.max_bytes else 1
-        trips = replay_trips(
-            spark, args.trips, max_files=files, max_bytes=args.max_bytes, latest_first=not args.oldest_first
-        )
+        source = replay_file_names if args.mixed_types else replay_trips
+        trips = source(spark, args.trips, max_files=files, max_bytes=args.max_bytes, latest_first=not args.oldest_first)
         run_replay(
             trips,
             args.servers,
@@ -131,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
             args.partitions,
             args.version,
             Path(args.avro_schema).read_text() if args.avro_schema else None,
+            args.mixed_types,
         ).awaitTermination()
         return
     messages = read_kafka(spark, args.servers, args.topic, args.starting_offsets)
@@ -145,10 +169,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     if args.zones_url:
         properties = json.loads(Path(args.zones_properties).read_text()) if args.zones_properties else {}
-        # The location ids that the reference table holds, read in eight ranges.
-        zones = read_table(spark, args.zones_url, args.zones_table, properties, "location_id", 1, 265, 8)
+        zones = partial(read_table, spark, args.zones_url, args.zones_table, properties)
     else:
-        zones = read_zones(spark, args.zones)
+        zones = partial(read_zones, spark, args.zones)  # read again for each batch
     targets = StreamTargets(args.enriched, args.counts, args.checkpoints)
     documents = (args.documents, args.database) if args.documents else None
     run_stream(

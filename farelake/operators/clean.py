@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 from operator import and_
 
@@ -38,12 +39,15 @@ ZERO_IF_NULL = [
 ]
 
 
-def conform_trips(df: DataFrame) -> DataFrame:
-    """Either message version -> the one trip schema; wall-clock timestamps stay as they are."""
+def conform_trips(df: DataFrame, optional: Collection[str] = ()) -> DataFrame:
+    """Either message version -> the one trip schema; wall-clock timestamps stay as they are. Columns of ``optional``
+    (lower-case names) may be missing and are NULL then."""
 
     def conformed(field: T.StructField) -> Column:
         column = F.col(field.name)
         kind = next((f.dataType for f in df.schema if f.name.lower() == field.name.lower()), None)
+        if kind is None and field.name.lower() in optional:
+            return F.lit(None).cast(field.dataType).alias(field.name)
         if kind is None:
             raise ValueError(f"trips have no column {field.name!r}")
         if isinstance(field.dataType, T.TimestampType):

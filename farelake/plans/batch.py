@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.operators import marts, star
 from farelake.operators.clean import clean_trips, conform_trips
+from farelake.operators.keys import with_dense_key
 from farelake.schemas import MART_TABLES, SORT_KEYS, STAR_TABLES
+from farelake.session import in_parallel
 from farelake.sinks.jdbc import write_table
-from farelake.sinks.tables import read_star_or_mart, run_summary, table_path, write_parquet, write_star_or_mart
+from farelake.sinks.tables import read_star_or_mart, summary_of, table_path, write_parquet, write_star_or_mart
 from farelake.sources.files import read_trips, read_zones
-from farelake.sources.jdbc import read_span, read_table, require_jdbc
+from farelake.sources.jdbc import read_parts, read_sample, read_span, read_table, require_jdbc, split_predicates
 
 FACT_FOLDER = "pickup_month"
+ROLLUPS = ("rollup_time", "rollup_route")
 # The tables that grow with the trips, and the time that splits them evenly.
 TIME_COLUMNS = {"fact_trip": "created_at_sk", "dim_time": "timestamp_id"}
+# Whole-number keys that a sample is drawn by, one row of so many; moments of the time dimension occur once.
+KEY_COLUMNS, SAMPLED = {"fact_trip": "fact_trip_sk"}, 100
 
 
 @dataclass(frozen=True)
@@ -36,13 +42,16 @@ def build_star(
     root: str,
     calendar: str = "derive",
     by_month: bool = False,
-) -> None:
-    """Cleanse the trips and store the five dimensions and the fact.
+    clustered: bool = False,
+    dense_keys: bool = False,
+) -> dict[str, int]:
+    """Cleanse the trips and store the five dimensions and the fact; returns the rows of each.
 
     The raw trips are read once and the fact is written without a shuffle: the time dimension comes
     from the two timestamp columns of the stored fact. ``by_month`` brings the fact's rows together in
     a folder per pickup month, at the price of a shuffle. With ``calendar="join"`` the time dimension
-    is stored first and the fact joined to it.
+    is stored first and the fact joined to it. ``clustered`` deals the fact to files by ranges of its sort key, and
+    ``dense_keys`` counts its surrogate key from 0 in the order of the rows, whatever the partitioning: a shuffle each.
     """
     if calendar not in ("derive", "join"):
         raise ValueError(f"calendar is 'derive' or 'join', not {calendar!r}")
@@ -53,23 +62,38 @@ def build_star(
         "dim_payment": star.dim_payment(spark),
         "dim_location": locations,
     }
-    for name, table in lookups.items():
-        write_star_or_mart(table.hint("rebalance"), root, name)
-        require_unique(read_star_or_mart(spark, root, name), name)
-    lookups = {name: read_star_or_mart(spark, root, name) for name in lookups}
+    rows, lookups = store_lookups(spark, lookups, root)
 
     times = None
     if calendar == "join":
-        write_star_or_mart(star.dim_time(clean), root, "dim_time")
+        rows["dim_time"] = write_star_or_mart(star.dim_time(clean), root, "dim_time")
         times = read_star_or_mart(spark, root, "dim_time")
     fact = star.fact_trip(clean, *lookups.values(), times=times)
+    if dense_keys:
+        fact = with_dense_key(fact, "fact_trip_sk", SORT_KEYS["fact_trip"])
     folders = [FACT_FOLDER] if by_month else []
     if by_month:
         fact = fact.withColumn(FACT_FOLDER, F.date_format("pickup_time_sk", "yyyy-MM"))
-    write_star_or_mart(fact, root, "fact_trip", partition_by=folders)
+    rows["fact_trip"] = write_star_or_mart(fact, root, "fact_trip", folders, clustered=clustered)
     if calendar == "derive":
         stored = read_star_or_mart(spark, root, "fact_trip")
-        write_star_or_mart(star.dim_time(stored, "pickup_time_sk", "dropoff_time_sk"), root, "dim_time")
+        times = star.dim_time(stored, "pickup_time_sk", "dropoff_time_sk")
+        rows["dim_time"] = write_star_or_mart(times, root, "dim_time")
+    return rows
+
+
+def store_lookups(
+    spark: SparkSession, lookups: dict[str, DataFrame], root: str
+) -> tuple[dict[str, int], dict[str, DataFrame]]:
+    """Stores the lookup tables side by side and refuses one whose key repeats; their rows, and the stored tables."""
+
+    def store(name: str) -> int:
+        rows = write_star_or_mart(lookups[name].hint("rebalance"), root, name)
+        require_unique(read_star_or_mart(spark, root, name), name)
+        return rows
+
+    counts = in_parallel([partial(store, name) for name in lookups])
+    return dict(zip(lookups, counts, strict=True)), {name: read_star_or_mart(spark, root, name) for name in lookups}
 
 
 def stored_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -83,18 +107,28 @@ def database_star(
     properties: dict[str, str],
     prefix: str = "",
     partitions: int = 1,
+    split: str = "ranges",
 ) -> dict[str, DataFrame]:
     """The dimensions and the fact from a database.
 
     With more than one partition the fact and the time dimension, which grow with the trips, are read in that
-    many ranges of time between the first and the last one stored.
+    many ranges of time between the first and the last one stored: equal ranges, or with ``split="quantiles"`` ranges
+    that hold about equally many rows, after one more query for every hundredth row's time.
     """
+    if split not in ("ranges", "quantiles"):
+        raise ValueError(f"split is 'ranges' or 'quantiles', not {split!r}")
     star_tables = {name: read_table(spark, url, prefix + name, properties) for name in STAR_TABLES}
     for name, column in TIME_COLUMNS.items() if partitions > 1 else ():
+        if split == "quantiles":
+            tie = KEY_COLUMNS.get(name)
+            sample = read_sample(spark, url, prefix + name, properties, column, tie, SAMPLED if tie else 1)
+            predicates = split_predicates(sample, column, partitions, tie)
+            star_tables[name] = read_parts(spark, url, prefix + name, properties, predicates)
+            continue
         span = read_span(spark, url, prefix + name, properties, column)
         if span is not None:
-            split = (column, *span, partitions)
-            star_tables[name] = read_table(spark, url, prefix + name, properties, *split)
+            ranges = (column, *span, partitions)
+            star_tables[name] = read_table(spark, url, prefix + name, properties, *ranges)
     return star_tables
 
 
@@ -112,22 +146,28 @@ def build_marts(
     calendar: str = "derive",
     tables: dict[str, DataFrame] | None = None,
     names: Sequence[str] = tuple(MART_TABLES),
-) -> None:
-    """Store the two roll-ups of the fact, then the marts derived from them, all eight unless named.
+) -> dict[str, int]:
+    """Store the two roll-ups of the fact, then the marts derived from them, all eight unless named; their rows.
 
-    ``tables`` is the star schema to read, by default the one stored under ``root``.
+    Marts are small next to the cluster, so they are written side by side. ``tables`` is the star schema to read, by default the one stored under ``root``.
     """
     tables = tables or stored_star(spark, root)
     fact = tables["fact_trip"]
     times = tables["dim_time"] if calendar == "join" else None
     rollups = {"rollup_time": marts.time_rollup(fact, times), "rollup_route": marts.route_rollup(fact)}
-    for name, rollup in rollups.items():
-        write_parquet(rollup, table_path(root, name))
-    stored = [spark.read.parquet(table_path(root, name)) for name in rollups]
+    in_parallel([partial(write_parquet, rollup, table_path(root, name)) for name, rollup in rollups.items()])
+    return marts_of_rollups(spark, root, tables, names)
+
+
+def marts_of_rollups(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], names: Sequence[str] = tuple(MART_TABLES)
+) -> dict[str, int]:
+    """The marts of the stored roll-ups, which may hold several states of a key."""
+    stored = [spark.read.parquet(table_path(root, name)) for name in ROLLUPS]
     lookups = [tables[name] for name in ("dim_vendor", "dim_payment", "dim_location")]
     found = marts.all_marts(*stored, *lookups)
-    for name in names:
-        write_star_or_mart(found[name], root, name)
+    rows = in_parallel([partial(write_star_or_mart, found[name], root, name) for name in names])
+    return dict(zip(names, rows, strict=True))
 
 
 def run_batch_on(
@@ -137,11 +177,13 @@ def run_batch_on(
     root: str,
     calendar: str = "derive",
     by_month: bool = False,
+    clustered: bool = False,
+    dense_keys: bool = False,
 ) -> BatchRun:
     """Star schema, then marts; every table is replaced, so running twice changes nothing."""
-    build_star(spark, trips, locations, root, calendar, by_month)
-    build_marts(spark, root, calendar)
-    return BatchRun(root, run_summary(spark, root, [*STAR_TABLES, *MART_TABLES]))
+    rows = build_star(spark, trips, locations, root, calendar, by_month, clustered, dense_keys)
+    rows |= build_marts(spark, root, calendar)
+    return BatchRun(root, summary_of(spark, rows))
 
 
 def run_batch(
@@ -151,19 +193,29 @@ def run_batch(
     root: str,
     calendar: str = "derive",
     by_month: bool = False,
+    mixed: bool = False,
+    clustered: bool = False,
+    dense_keys: bool = False,
 ) -> BatchRun:
-    """The whole batch layer from trip files and the zone CSV."""
-    trips = read_trips(spark, trips_path)
-    return run_batch_on(spark, trips, read_zones(spark, zones_path), root, calendar, by_month)
+    """The whole batch layer from trip files, of mixed physical types if so told, and the zone CSV."""
+    trips = read_trips(spark, trips_path, mixed)
+    zones = read_zones(spark, zones_path)
+    return run_batch_on(spark, trips, zones, root, calendar, by_month, clustered, dense_keys)
 
 
 def run_marts_from_database(
-    spark: SparkSession, url: str, properties: dict[str, str], root: str, prefix: str = "", partitions: int = 8
+    spark: SparkSession,
+    url: str,
+    properties: dict[str, str],
+    root: str,
+    prefix: str = "",
+    partitions: int = 8,
+    split: str = "ranges",
 ) -> BatchRun:
     """The marts from a star schema that a database holds."""
     require_jdbc(spark, url, properties)
-    build_marts(spark, root, tables=database_star(spark, url, properties, prefix, partitions))
-    return BatchRun(root, run_summary(spark, root, list(MART_TABLES)))
+    rows = build_marts(spark, root, tables=database_star(spark, url, properties, prefix, partitions, split))
+    return BatchRun(root, summary_of(spark, rows))
 
 
 def export_tables(

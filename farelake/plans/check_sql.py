@@ -264,7 +264,7 @@ GROUP BY w
 ENRICHED = "enriched AS (SELECT * FROM trips JOIN dim_location ON PULocationID = location_id)"
 _SPEED = _with(TRIPS, LOCATIONS, ENRICHED)
 _EVENT_WINDOWS = _windows("events", "ts")
-LATE = """
+_LATE = """
 WITH b AS (
   SELECT event_id % 4 AS batch, ts, time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS w
   FROM events WHERE ts IS NOT NULL
@@ -274,16 +274,41 @@ WITH b AS (
   SELECT c.batch, max(t.top) - INTERVAL '30 minutes' AS mark
   FROM tops c LEFT JOIN tops t ON t.batch <= c.batch - 2 GROUP BY c.batch
 )
+"""
+LATE = _LATE + """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
   strftime(w + INTERVAL '10 minutes', '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS trip_count
 FROM b JOIN marks USING (batch)
 WHERE mark IS NULL OR w + INTERVAL '10 minutes' > mark
 GROUP BY w
 """
+LATE_SUMMARY = _LATE + """
+SELECT 'window_counts' AS query, count(DISTINCT batch) AS batches, (SELECT count(*) FROM events) AS rows_in,
+  count(DISTINCT (batch, w)) FILTER (w + INTERVAL '10 minutes' <= mark) AS late_windows,
+  (SELECT count(*) FROM events) - count(*) + count(*) FILTER (w + INTERVAL '10 minutes' <= mark) AS late_rows
+FROM b JOIN marks USING (batch)
+"""
+# All columns in the order of the fact, so that rows which share a place are equal.
+DENSE = """
+SELECT row_number() OVER (ORDER BY pickup_time_sk NULLS FIRST, dropoff_time_sk NULLS FIRST, vendor_sk NULLS FIRST,
+  ratecode_sk NULLS FIRST, payment_type_sk NULLS FIRST, pickup_location_sk NULLS FIRST,
+  dropoff_location_sk NULLS FIRST, passenger_count NULLS FIRST, trip_distance_miles NULLS FIRST,
+  store_and_fwd_flag NULLS FIRST, fare_amount NULLS FIRST, extra NULLS FIRST, mta_tax NULLS FIRST,
+  tip_amount NULLS FIRST, tolls_amount NULLS FIRST, improvement_surcharge NULLS FIRST, total_amount NULLS FIRST,
+  congestion_surcharge NULLS FIRST, airport_fee NULLS FIRST, cbd_congestion_fee NULLS FIRST,
+  trip_time_seconds NULLS FIRST, created_at_sk NULLS FIRST) - 1 AS fact_trip_sk, *
+FROM fact
+"""
 _KEY = "concat_ws(':', VendorID, strftime(tpep_pickup_datetime, '%Y-%m-%d'))"
 
+_CBD = "nullif(l_discount, 0.01::DOUBLE) AS cbd_congestion_fee"
+# The files of the last third of the trips lack the column.
+MIXED = TRIPS.replace(_CBD, _CBD.replace("nullif(", "nullif(CASE WHEN l_orderkey % 3 <> 2 THEN ").replace(",", " END,", 1))
+
 ORACLE: dict[str, str] = {
     "clean_trips": _with(TRIPS, CLEAN) + "SELECT * FROM clean",
+    "mixed_trips": _with(MIXED, CLEAN) + "SELECT * FROM clean",
+    "mixed_replay": _with(MIXED) + "SELECT * FROM trips",
     "dim_time": _with(TRIPS, CLEAN, TIMES) + "SELECT * FROM dim_time",
     "dim_location": _with(LOCATIONS) + "SELECT * FROM dim_location",
     "lookup_usage": _STAR
@@ -316,6 +341,7 @@ GROUP BY ALL
     "stream_window_counts": _EVENT_WINDOWS,
     "stream_window_counts_update": _EVENT_WINDOWS,
     "stream_late_counts": LATE,
+    "stream_summary": LATE_SUMMARY,
     "stream_enriched": _SPEED + "SELECT * FROM enriched",
     "serve_total": _SPEED + "SELECT count(*) AS num_trip FROM enriched",
     "serve_window_series": _with(TRIPS)
@@ -354,4 +380,7 @@ FROM trips
     "stored_fact_trip": _STAR + "SELECT * FROM fact",
     "stored_dim_time": _with(TRIPS, CLEAN, TIMES) + "SELECT * FROM dim_time",
     **{f"stored_{name}": _STAR + sql for name, sql in _STORED.items() if name.startswith("agg_")},
+    "loaded_dim_time": _with(TRIPS, CLEAN, TIMES) + "SELECT * FROM dim_time",
+    **{f"loaded_{n}": _STAR + _STORED[n] for n in ("agg_daily_trips", "agg_popular_routes", "agg_revenue_breakdown")},
+    "fact_trip_dense_key": _STAR + DENSE,
 }

@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from farelake.functions.keys import epoch_millis, trip_key
 from farelake.operators import marts, star
 from farelake.operators.clean import clean_trips, conform_trips
+from farelake.operators.keys import with_dense_key
 from farelake.plans import serving
 from farelake.plans.batch import build_marts, build_star, run_batch_on
+from farelake.plans.loads import load_trips, read_loaded
 from farelake.plans.stream import StreamTargets, run_stream, start_window_counts
-from farelake.schemas import MART_TABLES, TRIP_V2
+from farelake.schemas import MART_TABLES, SORT_KEYS, TRIP_V2
 from farelake.session import scratch_path, zoned_session
+from farelake.sinks.batches import append_once
 from farelake.sinks.streams import land_partitioned, land_text, publish_batches
 from farelake.sinks.tables import read_star_or_mart, write_star_or_mart
 from farelake.sinks.upsert import read_upserted, upsert_batches
 from farelake.sources.envelope import decode_envelope
-from farelake.sources.files import replay_trips
+from farelake.sources.files import mixed_batches, read_trips, replay_file_names, replay_trips
 from farelake.sources.testtables import trips_from_lineitem, zones_from_part
+from farelake.streaming.summary import summarised, summary_rows
 from farelake.streaming.windows import WINDOW_KEYS, window_counts, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +60,47 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_location(zones_from_part(table(spark, sf_dir, "part")))
 
 
+MIXED_FOLDERS = 3
+
+
+def write_mixed_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Raw trips in three folders whose files have other physical types, as older months have; returns their parent."""
+    work = scratch_path(spark, "mixed")
+    lineitem = table(spark, sf_dir, "lineitem")
+    wide = dict.fromkeys(("VendorID", "PULocationID", "DOLocationID", "payment_type"), "bigint")
+    wide |= dict.fromkeys(("passenger_count", "RatecodeID"), "double")
+    narrow = dict.fromkeys(("VendorID", "passenger_count", "RatecodeID", "payment_type"), "int")
+    narrow |= dict.fromkeys(("extra", "mta_tax", "tolls_amount"), "float")
+    for folder, kinds in enumerate(({}, wide, narrow)):
+        trips = trips_from_lineitem(lineitem.where(F.pmod("l_orderkey", F.lit(MIXED_FOLDERS)) == folder))
+        trips = trips.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
+        if kinds is narrow:
+            trips = trips.withColumnRenamed("Airport_fee", "airport_fee").drop("cbd_congestion_fee")
+        trips.write.parquet(f"{work}/{folder}")
+    return work
+
+
+def mixed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip folders of three physical types, read as one table and cleansed."""
+    return clean_trips(read_trips(spark, write_mixed_trips(spark, sf_dir), mixed=True))
+
+
+def mixed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folders replayed a few files at a time; the rows of all batches."""
+    session = zoned_session(spark, ZONE)
+    work = scratch_path(session, "mixed-replay")
+    names = replay_file_names(session, write_mixed_trips(session, sf_dir), max_files=4, latest_first=False)
+    write = append_once(f"{work}/trips", f"{work}/checkpoint")
+    (
+        names.writeStream.foreachBatch(mixed_batches(write))
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return session.read.parquet(f"{work}/trips")
+
+
 def fact(spark: SparkSession, sf_dir: str, times: DataFrame | None = None) -> DataFrame:
     lookups = (star.dim_vendor(spark), star.dim_ratecode(spark), star.dim_payment(spark))
     return star.fact_trip(cleansed(spark, sf_dir), *lookups, locations(spark, sf_dir), times)
@@ -121,7 +166,8 @@ def _stream_counts(spark: SparkSession, sf_dir: str, output_mode: str) -> DataFr
     """Window counts of a replay from its first file to its last: no row is late, in however many batches."""
     session = zoned_session(spark, ZONE)
     work = scratch_path(session, "counts")
-    write = upsert_batches(f"{work}/table", WINDOW_KEYS, whole=output_mode == "complete")
+    whole = output_mode == "complete"
+    write = upsert_batches(f"{work}/table", WINDOW_KEYS, whole, None if whole else WINDOW_KEYS[0])
     events = stream_of(session, sf_dir, "events")
     start_window_counts(
         events, f"{work}/checkpoint", write, output_mode, event_time="ts", watermark=None
@@ -140,8 +186,8 @@ def stream_window_counts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 LATE_BATCHES, LATE_FILES = 4, 8
 
 
-def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Window counts in update mode with a watermark, over four batches that each span all times.
+def _late_counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[str, int, int, int]]]:
+    """Window counts in update mode with a watermark, over four batches that each span all times; what the query did.
 
     Spark tests the rows of a batch with the watermark that the batch before it started with, so the first two batches
     count whole and the later ones only in windows that end after the watermark.
@@ -153,9 +199,26 @@ def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = events.where(F.pmod("event_id", F.lit(LATE_BATCHES)) == batch)
         rows.repartition(LATE_FILES).write.mode("append").parquet(f"{work}/in")
     stream = replay_trips(session, f"{work}/in", events.schema, max_files=LATE_FILES, latest_first=False)
-    write = upsert_batches(f"{work}/table", WINDOW_KEYS)
-    start_window_counts(stream, f"{work}/checkpoint", write, "update", event_time="ts").awaitTermination()
-    return read_upserted(session, f"{work}/table").select("window_start", "window_end", "trip_count")
+    write = upsert_batches(f"{work}/table", WINDOW_KEYS, day=WINDOW_KEYS[0])
+    with summarised(session) as summary:
+        query = start_window_counts(stream, f"{work}/checkpoint", write, "update", event_time="ts")
+        query.awaitTermination()
+        done = summary_rows(summary, [("window_counts", query)])
+    return read_upserted(session, f"{work}/table"), done
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_counts(spark, sf_dir)[0].select("window_start", "window_end", "trip_count")
+
+
+def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the query of ``stream_late_counts`` did: batches, rows, late windows, and rows that are in no window."""
+    counts, done = _late_counts(spark, sf_dir)
+    counted = counts.agg(F.sum("trip_count")).head()[0] or 0
+    return spark.createDataFrame(
+        [(*row, row[2] - counted) for row in done],
+        "query string, batches long, rows_in long, late_windows long, late_rows long",
+    )
 
 
 def _speed_layer(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, StreamTargets]:
@@ -237,6 +300,29 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_batch_on(spark, raw_trips(spark, sf_dir), locations(spark, sf_dir), root).summary
 
 
+def _loaded(name: str) -> Query:
+    """A table after two loads: the trips of odd orders first, then those of even ones, over the same days."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "loads")
+        lineitem, zones = table(spark, sf_dir, "lineitem"), locations(spark, sf_dir)
+        wanted = [name] if name in MART_TABLES else []
+        for load, rest, names in (("first", 1, []), ("second", 0, wanted)):
+            trips = trips_from_lineitem(lineitem.where(F.col("l_orderkey") % 2 == rest))
+            load_trips(spark, trips, zones, root, load, names)
+        return read_loaded(spark, root, name).drop("fact_trip_sk")
+
+    return query
+
+
+LOADED_TABLES = ("dim_time", "agg_daily_trips", "agg_popular_routes", "agg_revenue_breakdown")
+
+
+def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with its dense surrogate key."""
+    return with_dense_key(fact(spark, sf_dir), "fact_trip_sk", SORT_KEYS["fact_trip"])
+
+
 def _stored(name: str) -> Query:
     """A table as the batch job stores it, read back."""
 
@@ -252,6 +338,8 @@ def _stored(name: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "clean_trips": cleansed,
+    "mixed_trips": mixed_trips,
+    "mixed_replay": mixed_replay,
     "dim_time": times_of,
     "dim_location": locations,
     "lookup_usage": lookup_usage,
@@ -279,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "stream_window_counts": stream_window_counts,
     "stream_window_counts_update": stream_window_counts_update,
     "stream_late_counts": stream_late_counts,
+    "stream_summary": stream_summary,
     "stream_enriched": stream_enriched,
     "serve_total": _served(serving.total_trips),
     "serve_window_series": _served(serving.window_series),
@@ -292,4 +381,6 @@ QUERIES: dict[str, Query] = {
     "stored_fact_trip": _stored("fact_trip"),
     "stored_dim_time": _stored("dim_time"),
     **{f"stored_{name}": _stored(name) for name in MART_TABLES},
+    **{f"loaded_{name}": _loaded(name) for name in LOADED_TABLES},
+    "fact_trip_dense_key": dense_keys,
 }

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import warnings
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # AQE merges small shuffle partitions, splits skewed ones and picks join strategies at run time;
 # rebalanced table writes aim at the advisory size, hence files of about that size before encoding.
 DEFAULTS = {
@@ -15,6 +22,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # The JVM never compiles a method over 8000 bytes; a stage that large runs faster in smaller pieces.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Readers skip by the smallest and largest moment of a row group; the default type of moments has none.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 
@@ -58,3 +67,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
         return
     hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _inheriting(job: Callable[[], Result]) -> Callable[[], Result]:
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # tags of the session are not inherited
+        return inheritable_thread_target(job)
+
+
+def in_parallel(jobs: Sequence[Callable[[], Result]], threads: int = 8) -> list[Result]:
+    """What ``jobs`` return, in their order; each starts its Spark jobs from a thread of the driver, so small ones share
+    the cluster. The first error is raised once all have ended."""
+    with ThreadPoolExecutor(max(1, min(threads, len(jobs)))) as pool:
+        running = [pool.submit(_inheriting(job)) for job in jobs]
+    return [job.result() for job in running]

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from farelake.functions.keys import epoch_millis, trip_key
 from farelake.schemas import TRIP_V1, TRIP_V2, avro_schema
+from farelake.sinks.batches import append_once
 from farelake.sources.envelope import add_header
 
 
@@ -42,6 +43,9 @@ def console_stream(stream: DataFrame, interval: str | None = None, rows: int = 2
     return triggered(writer.option("numRows", rows).option("truncate", "false"), interval).start()
 
 
+LANDING_FOLDERS = ["year", "month", "day"]
+
+
 def land_partitioned(
     stream: DataFrame,
     path: str,
@@ -49,35 +53,33 @@ def land_partitioned(
     interval: str | None = "10 minutes",
     max_records: int = 1_000_000,
     unordered: bool = False,
-    files_per_day: int = 8,
+    files_per_day: int | None = None,
     pickup: str = "tpep_pickup_datetime",
 ) -> StreamingQuery:
     """Trips -> Parquet under year=/month=/day= of the pickup time in the session's time zone.
 
     A new file starts with every trigger and after ``max_records`` rows. Trips without a pickup time
-    land in the default partition. With ``unordered`` each batch is shuffled by day first, a day's rows to
-    ``files_per_day`` tasks by a hash of the whole row: a day then gets that many files a trigger at most,
-    where otherwise every task may write to every day, and a day with most of the rows is still shared.
+    land in the default partition. With ``unordered`` a batch's rows are brought together by day first, where
+    otherwise every task may write to every day: AQE merges small days into one task, of which each writes one file,
+    and splits a day with much of the rows over many. ``files_per_day`` instead deals each day to that many tasks at
+    most, by a hash of the whole row. A batch that runs again replaces its own files.
     """
     ts = F.col(pickup)
-    if unordered:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(files_per_day))
-        stream = stream.repartition(F.to_date(ts), salt)
-    days = stream.withColumns(
-        {
-            "year": F.date_format(ts, "yyyy"),
-            "month": F.date_format(ts, "MM"),
-            "day": F.date_format(ts, "dd"),
-        }
-    )
-    writer = (
-        days.writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("year", "month", "day")
-        .option("maxRecordsPerFile", max_records)
-        .option("checkpointLocation", checkpoint)
-    )
-    return triggered(writer, interval).start(path)
+    formats = dict(zip(LANDING_FOLDERS, ("yyyy", "MM", "dd"), strict=True))
+    days = stream.withColumns({name: F.date_format(ts, how) for name, how in formats.items()})
+
+    def by_day(batch: DataFrame) -> DataFrame:
+        folders = [F.col(name) for name in LANDING_FOLDERS]
+        if not unordered:
+            return batch
+        if files_per_day:
+            salt = F.pmod(F.xxhash64(*[F.col(c) for c in batch.columns]), F.lit(files_per_day))
+            return batch.repartition(*folders, salt)
+        return batch.hint("rebalance", *folders)
+
+    write = append_once(path, checkpoint, LANDING_FOLDERS, max_records, by_day)
+    writer = days.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return triggered(writer, interval).start()
 
 
 def land_text(

@@ -1,0 +1,214 @@
+"""State, upserts by day and summaries of the stream."""
+
+import time
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import same_rows, trips, zones
+from test_streams import BASE, LATE, at, write_files
+
+from farelake.plans.stream import StreamTargets, run_stream, start_window_counts
+from farelake.sinks.upsert import KEEP_VERSIONS, read_upserted, upsert, upsert_batches
+from farelake.sources.files import replay_trips
+from farelake.streaming.state import DISK_STATE, disk_state
+from farelake.streaming.summary import summarised, summary_rows
+from farelake.streaming.windows import WINDOW_KEYS
+
+SCHEMA = "k timestamp, label string, n long"
+D1, D2, D3 = (datetime(2025, 1, day, 9) for day in (1, 2, 3))
+
+
+def files_of(path):
+    return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def put(spark, target, *rows):
+    upsert(spark.createDataFrame(list(rows), SCHEMA), str(target), ["k"], day="k")
+
+
+def got(spark, target):
+    return sorted(map(tuple, read_upserted(spark, str(target)).collect()))
+
+
+def test_untouched_days_keep_their_files(spark, tmp_path):
+    target = tmp_path / "u"
+    put(spark, target, (D1, "a", 1), (D2, "b", 1))
+    before = files_of(target)
+    put(spark, target, (D2, "b", 5), (D2 + timedelta(hours=1), "c", 1), (D3, "d", 1))
+    after = files_of(target)
+    assert before.items() <= after.items()
+    assert {p.parent.parent.name for p in after.keys() - before.keys()} == {"day=2025-01-02", "day=2025-01-03"}
+    assert got(spark, target) == [(D1, "a", 1), (D2, "b", 5), (D2 + timedelta(hours=1), "c", 1), (D3, "d", 1)]
+
+
+def test_a_replayed_batch_and_old_versions(spark, tmp_path):
+    target = tmp_path / "u"
+    for _ in range(KEEP_VERSIONS + 3):
+        put(spark, target, (D1, "a", 7), (D2, "b", 2))
+        assert got(spark, target) == [(D1, "a", 7), (D2, "b", 2)]
+    assert len(list((target / "day=2025-01-01").iterdir())) == KEEP_VERSIONS
+    assert not list(target.glob("_staged*"))
+
+
+def test_an_unfinished_day_is_ignored_and_written_again(spark, tmp_path):
+    target = tmp_path / "u"
+    put(spark, target, (D1, "a", 1), (D2, "b", 1))
+    put(spark, target, (D1, "a", 2), (D2, "b", 2))
+    # As after a crash between the markers of the two days.
+    (target / "day=2025-01-02" / "version=1" / "_SUCCESS").unlink()
+    assert got(spark, target) == [(D1, "a", 2), (D2, "b", 1)]
+    put(spark, target, (D1, "a", 2), (D2, "b", 2))
+    assert got(spark, target) == [(D1, "a", 2), (D2, "b", 2)]
+
+
+def test_days_do_not_depend_on_the_zone_of_the_session(spark, tmp_path):
+    target = tmp_path / "u"
+    late = datetime(2025, 1, 1, 23, 30)
+    put(spark, target, (late, "a", 1))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        upsert(read_upserted(spark, str(target)).withColumn("n", F.lit(9).cast("long")), str(target), ["k"], day="k")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r[2] for r in got(spark, target)] == [9]
+
+
+def test_empty_batch_null_key_and_wrong_use(spark, tmp_path):
+    target = tmp_path / "u"
+    upsert(spark.createDataFrame([], SCHEMA), str(target), ["k"], day="k")
+    assert read_upserted(spark, str(target)) is None
+    put(spark, target, (None, "a", 1))
+    put(spark, target, (None, "a", 2))
+    assert got(spark, target) == [(None, "a", 2)]
+    for wrong in ({"whole": True, "day": "k"}, {"day": "n"}):
+        with pytest.raises(ValueError):
+            upsert(spark.createDataFrame([(D1, "a", 1)], SCHEMA), str(target), ["k"], **wrong)
+
+
+def counted(spark, tmp_path, mode="update", watermark=None, batches=None):
+    source = replay_trips(spark, str(tmp_path / "in"), latest_first=False)
+    write = upsert_batches(str(tmp_path / "counts"), WINDOW_KEYS, mode == "complete", None if mode == "complete" else "window_ts")
+    query = start_window_counts(source, str(tmp_path / "cp"), write, mode, watermark=watermark)
+    query.awaitTermination()
+    return query
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_state_survives_a_restart_on_disk(spark, tmp_path, mode):
+    write_files(spark, tmp_path / "in", [[at(0), at(5)], [at(120)]])
+    counted(spark, tmp_path, mode)
+    newest = time.time() + 100
+    trips(spark, at(3), at(125), at(500)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    import os
+
+    os.utime(max((tmp_path / "in").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns), (newest, newest))
+    counted(spark, tmp_path, mode)
+    have = {r.window_start[11:16]: r.trip_count for r in read_upserted(spark, str(tmp_path / "counts")).collect()}
+    assert have == {"12:00": 3, "14:00": 2, "20:20": 1}
+    # Snapshots and change logs of RocksDB, not the files of the store that keeps all in memory.
+    state = list((tmp_path / "cp" / "state").rglob("*"))
+    assert any(p.suffix in (".changelog", ".zip") for p in state) and not any(p.suffix == ".delta" for p in state)
+
+
+def test_settings_of_the_session_come_back(spark):
+    before = {key: spark.conf.get(key, None) for key in DISK_STATE}
+    with pytest.raises(RuntimeError), disk_state(spark):
+        assert all(spark.conf.get(key) == value for key, value in DISK_STATE.items())
+        raise RuntimeError
+    assert {key: spark.conf.get(key, None) for key in DISK_STATE} == before
+
+
+def test_summary_counts_rows_batches_and_late_windows(spark, tmp_path):
+    write_files(spark, tmp_path / "in", LATE)
+    with summarised(spark) as summary:
+        query = counted(spark, tmp_path, watermark="30 minutes")
+        assert summary_rows(summary, [("q", query)]) == [("q", 5, 6, 1)]
+        assert summary.of(query).error is None
+
+
+def test_summary_tells_the_error(spark, tmp_path):
+    write_files(spark, tmp_path / "in", [[at(0)]])
+
+    def broken(batch, batch_id):
+        raise OSError("no room")
+
+    with summarised(spark) as summary:
+        query = start_window_counts(replay_trips(spark, str(tmp_path / "in")), str(tmp_path / "cp"), broken)
+        with pytest.raises(Exception, match="no room"):
+            query.awaitTermination()
+        assert "no room" in summary.of(query).error
+
+
+def test_both_queries_of_the_speed_layer_are_summed_up(spark, tmp_path):
+    write_files(spark, tmp_path / "in", [[at(0), {"PULocationID": 11}], [at(60)]])
+    targets = StreamTargets(*(str(tmp_path / n) for n in ("enriched", "counts", "cp")))
+    done = run_stream(replay_trips(spark, str(tmp_path / "in")), zones(spark, [10]), targets, "update", watermark=None)
+    assert {name: (run.batches, run.rows_in, run.late) for name, run in done.items()} == {
+        "counts": (2, 3, 0),
+        "enriched": (2, 3, 0),
+    }
+    assert BASE and same_rows(spark.read.parquet(targets.enriched).select("PULocationID"), spark.createDataFrame([(10,), (10,)], "PULocationID int"))
+
+
+def test_zones_that_change_and_grow_between_batches(spark, tmp_path, monkeypatch):
+    from farelake.operators import joins
+    from farelake.plans.stream import start_enriched
+
+    write_files(spark, tmp_path / "in", [[at(0)], [at(1)], [at(2)]])
+    schema = "location_id int, borough string, zone string, service_zone string"
+    tables = [[(10, "B", "old", "S")], [(10, "B", "new", "S")], [(k, "B", f"z{k}", "S") for k in range(40)]]
+    read, marked = [], []
+
+    def locations():
+        rows = tables[min(len(read), 2)]
+        read.append(len(rows))
+        return spark.createDataFrame(rows, schema)
+
+    small = joins.broadcast_if_small
+    monkeypatch.setattr(
+        "farelake.streaming.enrich.broadcast_if_small",
+        lambda zones: marked.append((out := small(zones, 10)) is not zones) or out,
+    )
+    source = replay_trips(spark, str(tmp_path / "in"), latest_first=False)
+    out = str(tmp_path / "out")
+    start_enriched(source, locations, out, str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(out).select(F.minute("tpep_pickup_datetime").alias("m"), "zone").collect()
+    assert sorted(map(tuple, rows)) == [(0, "old"), (1, "new"), (2, "z10")]
+    assert read == [1, 1, 40] and marked == [True, True, False]
+
+
+def stand_in(spark, path):
+    """A store that replaces the document of the same id."""
+    return lambda rows: upsert(rows, path, ["_id"])
+
+
+def test_documents_of_a_batch_that_runs_twice(spark, tmp_path):
+    from farelake.sinks.upsert import append_documents
+
+    rows = spark.createDataFrame([(1, "a", None), (1, "a", None), (1, "a", None), (2, None, 0.5)], "k int, s string, f double")
+    store = stand_in(spark, str(tmp_path / "docs"))
+    write = append_documents("u", "d", "c", str(tmp_path / "cp"), store=store)
+    write(rows.repartition(3), 0)
+    first = sorted(map(tuple, read_upserted(spark, str(tmp_path / "docs")).collect()), key=repr)
+    assert len(first) == 4 and len({r[0] for r in first}) == 4
+    again = append_documents("u", "d", "c", str(tmp_path / "cp"), store=store)
+    again(rows.repartition(2, "k"), 0)
+    assert sorted(map(tuple, read_upserted(spark, str(tmp_path / "docs")).collect()), key=repr) == first
+    # The same rows in another batch, or from another stream, are other documents.
+    again(rows, 1)
+    append_documents("u", "d", "c", str(tmp_path / "cp2"), store=store)(rows, 0)
+    assert read_upserted(spark, str(tmp_path / "docs")).count() == 12
+
+
+def test_a_hot_row_is_numbered_by_several_tasks(spark):
+    from farelake.functions.identity import with_row_ids
+
+    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        named = with_row_ids(rows, "p", run=100)
+        assert named.select("_id").distinct().count() == 10_000
+        assert named.where("v = -1").rdd.glom().filter(len).count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")

@@ -296,3 +296,62 @@ def test_replayed_files_conform_first(spark, tmp_path, version):
     value = bytes(spark.read.parquet(str(tmp_path / "t")).head().value)
     assert seen["schema"] == "{}" and value[:5] == bytes([0, 0, 0, 0, 7])
     assert (b'"tpep_pickup_datetime":"2025-03-01 10:00:00"' in value) == (version == 1)
+
+
+def landed_files(out):
+    return {str(p.parent.relative_to(out)): len(list(p.parent.glob("*.parquet"))) for p in out.rglob("*.parquet")}
+
+
+def test_even_days_land_in_one_file_a_trigger(spark, tmp_path):
+    rows = [{"tpep_pickup_datetime": datetime(2025, 3, 1 + i % 25, i % 24)} for i in range(500)]
+    write_files(spark, tmp_path / "in", [rows[:250], rows[250:]])
+    out, session = tmp_path / "out", zoned_session(spark, "UTC")
+    source = replay_trips(session, str(tmp_path / "in"))
+    land_partitioned(source, str(out), str(tmp_path / "cp"), None, unordered=True).awaitTermination()
+    assert set(landed_files(out).values()) == {2} and len(landed_files(out)) == 25
+    assert read_landed_trips(spark, str(out)).count() == 500
+
+
+def test_a_hot_day_is_split_over_tasks(spark, tmp_path):
+    hot = spark.range(60_000).selectExpr(
+        "timestamp_ntz '2025-03-01 12:00:00' AS tpep_pickup_datetime", "id AS n", "uuid() AS filler"
+    )
+    even = spark.range(2_000).selectExpr(
+        "timestampadd(DAY, cast(id % 20 AS int) + 1, timestamp_ntz '2025-03-01 12:00:00') AS tpep_pickup_datetime",
+        "id AS n",
+        "uuid() AS filler",
+    )
+    rows = hot.unionAll(even)
+    rows.write.parquet(str(tmp_path / "in"))
+    session = zoned_session(spark, "UTC")
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    source = replay_trips(session, str(tmp_path / "in"), max_files=1000)
+    out = tmp_path / "out"
+    land_partitioned(source, str(out), str(tmp_path / "cp"), None, unordered=True).awaitTermination()
+    files = landed_files(out)
+    assert files.pop("year=2025/month=03/day=01") >= 3
+    assert set(files.values()) == {1}
+    assert read_landed_trips(spark, str(out)).agg(F.countDistinct("n", "filler")).head()[0] == 62_000
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    rows = [{"tpep_pickup_datetime": datetime(2025, 3, 1 + i % 5, 8), "total_amount": float(i + 1)} for i in range(50)]
+    write_files(spark, tmp_path / "in", [rows[:20], rows[20:]])
+    out, checkpoint = tmp_path / "out", tmp_path / "cp"
+
+    def land():
+        source = replay_trips(zoned_session(spark, "UTC"), str(tmp_path / "in"), latest_first=False)
+        land_partitioned(source, str(out), str(checkpoint), None, unordered=True).awaitTermination()
+
+    land()
+    # As after a crash between the last batch's files and its commit, with a file of it missing.
+    (checkpoint / "commits" / "1").unlink()
+    (checkpoint / "commits" / ".1.crc").unlink()
+    lost = next(iter(out.rglob("*-000000001-*.parquet")))
+    lost.unlink()
+    land()
+    assert sorted(r.total_amount for r in read_landed_trips(spark, str(out)).collect()) == [i + 1.0 for i in range(50)]
+    # Another stream into the same folder adds its rows.
+    source = replay_trips(zoned_session(spark, "UTC"), str(tmp_path / "in"), latest_first=False)
+    land_partitioned(source, str(out), str(tmp_path / "cp2"), None, unordered=True).awaitTermination()
+    assert read_landed_trips(spark, str(out)).count() == 100
