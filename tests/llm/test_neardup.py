@@ -121,3 +121,64 @@ def test_query(spark, small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in queries.near_duplicates(spark, small).collect()}
     assert got == {i: (n, root, root == i) for (i, _), (n, root) in zip(rows, roots(rows, 2, 80), strict=True)}
+
+
+def families(seed, members=45, groups=6):
+    """Copies of one text that were edited together in groups, then apart: links within a group, few or none with the
+    text itself; some grow or shrink, and a few stand between groups."""
+    r = random.Random(seed)
+    base = [f"b{r.randrange(10**6)}" for _ in range(150)]
+    rows = []
+
+    def edited(words, times, tag):
+        words = list(words)
+        for _ in range(times):
+            words[r.randrange(len(words))] = f"{tag}{r.randrange(10**6)}"
+        return words
+
+    kinds = [edited(base, r.randrange(0, 16), "g") for _ in range(groups)]
+    for _ in range(members * groups):
+        words = edited(r.choice(kinds), r.randrange(0, 8), "e")
+        if r.random() < 0.3:
+            words = words[: r.randrange(100, len(words))]
+        if r.random() < 0.3:
+            words += [f"t{r.randrange(40)}" for _ in range(r.randrange(30))]
+        rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, percent", [(1, 80), (2, 80), (3, 70), (4, 90)])
+def test_groups_that_were_edited_together(spark, seed, percent):
+    rows = families(seed)
+    compare(made(spark, rows), rows, 2, percent)
+
+
+def test_pairs_of_a_large_group_of_unlinked_copies_are_few(spark, monkeypatch):
+    r = random.Random(7)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for i in range(900):
+        words = list(base)
+        for _ in range(r.randrange(2, 18)):
+            words[r.randrange(len(words))] = f"n{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    counts = {}
+    stored = neardup.stored
+
+    def counted(df, name):
+        counts[name] = counts.get(name, 0) + (table := stored(df, name)).count()
+        return table
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    compare(made(spark, rows), rows, 2)
+    # All of a bucket would be some hundred thousand pairs.
+    assert counts["left"] > 500 and counts["rest"] <= 5 * len(rows)
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    near = text.replace("w30 ", "x ")
+    rows = [(1, text)] * 3 + [(None, near)] * 2 + [(2, near)] + [(None, "other " * 30)] * 2
+    rows += [(5, text + " a"), (5, text + " b"), (6, None), (6, None)]
+    kept = sorted(((r.doc_id, r.text) for r in neardup.drop_near_duplicates(made(spark, rows), 5).collect()), key=str)
+    assert kept == sorted([(1, text), (None, "other " * 30), (6, None), (6, None)], key=str)
