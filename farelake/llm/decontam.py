@@ -10,6 +10,11 @@ from .common import NO_TERM, same, shuffled, stored, without
 #: Word positions that each mask looks at. Five words a mask; no mask needs every residue of a period of five, so a
 #: passage with each fifth word replaced is found as well.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5), (0, 1, 3, 5, 6), (0, 2, 3, 5, 7))
+#: Further masks, of four words, for items of these numbers of words: with a fifth of their words replaced not every one
+#: has five left that a mask above fits. Of every five words in a row one at most is replaced somewhere, and these four
+#: masks see any four of five.
+SHORT_MASKS = ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))
+SHORT = (5, 6, 7, 10, 11, 15)
 LEAST = 0.8
 #: Longer items are compared in every stretch of so many words.
 STRETCH = 20
@@ -17,19 +22,22 @@ STRETCH = 20
 BLOCK_WORDS = 2_000_000
 
 
+Masks = tuple[tuple[int, ...], ...]
+
+
 def terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NO_TERM), "")
 
 
-def _hashes(words: Column, at: Column) -> Column:
+def _hashes(words: Column, at: Column, masks: Masks) -> Column:
     """Hash of each mask laid at a position (counted from 0)."""
     return F.array(
-        *[F.xxhash64(F.lit(m), *[F.get(words, at + offset) for offset in mask]) for m, mask in enumerate(MASKS)]
+        *[F.xxhash64(F.lit(m), *[F.get(words, at + offset) for offset in mask]) for m, mask in enumerate(masks)]
     )
 
 
-def _positions(words: Column) -> Column:
-    shortest = min(max(mask) for mask in MASKS) + 1
+def _positions(words: Column, masks: Masks) -> Column:
+    shortest = min(max(mask) for mask in masks) + 1
     return F.when(F.size(words) >= shortest, F.sequence(F.lit(0), F.size(words) - shortest))
 
 
@@ -40,7 +48,8 @@ def overlaps(docs: DataFrame, items: DataFrame, least: float = LEAST, stretch: i
     Words are runs of letters and digits in lower case. An item is found where, word by word, a share of at least
     ``least`` of the item equals the document; items of more than ``stretch`` words count as found if any ``stretch``
     consecutive words do. Substituted words are tolerated, not inserted ones: behind an insertion the rest of a long
-    item is found by itself. Items under five words are never found. Every text is searched whole.
+    item is found by itself. Items under five words are never found. Every text is searched whole. Where there are items
+    of ``SHORT`` lengths the documents are searched with ``SHORT_MASKS`` as well.
 
     One row for each document and item, the best place. Null and empty texts, in either table, match nothing. Equal
     rows are one document; items with one id and several texts are all searched. Other columns are ignored, whatever
@@ -50,11 +59,12 @@ def overlaps(docs: DataFrame, items: DataFrame, least: float = LEAST, stretch: i
     items = items.withColumn("key", F.xxhash64("item_id", "iw"))
     total = items.agg(F.sum(F.size("iw"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_WORDS))
+    masks = MASKS if items.where(F.size("iw").isin(*SHORT)).isEmpty() else MASKS + SHORT_MASKS
     rows = docs.select("doc_id", F.xxhash64("text").alias("_th"), terms(F.col("text")).alias("w"))
     found = None
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod("key", F.lit(blocks)) == block)
-        here = _overlaps_of_block(rows, part, least, stretch)
+        here = _overlaps_of_block(rows, part, least, stretch, masks)
         found = here if found is None else found.unionAll(here)
     best = F.max(F.struct("similarity", "length", (-F.col("start")).alias("back"))).alias("b")
     return (
@@ -64,17 +74,18 @@ def overlaps(docs: DataFrame, items: DataFrame, least: float = LEAST, stretch: i
     )
 
 
-def _overlaps_of_block(rows: DataFrame, items: DataFrame, least: float, stretch: int) -> DataFrame:
-    seeds = items.select("key", "iw", F.explode(_positions(F.col("iw"))).alias("k"))
-    seeds = seeds.select("key", "k", F.posexplode(_hashes(F.col("iw"), F.col("k"))).alias("mask", "hash"))
-    places = rows.select("doc_id", "_th", "w", F.explode(_positions(F.col("w"))).alias("i"))
-    places = places.select("doc_id", "_th", "w", "i", F.explode(_hashes(F.col("w"), F.col("i"))).alias("hash"))
+def _overlaps_of_block(rows: DataFrame, items: DataFrame, least: float, stretch: int, masks: Masks) -> DataFrame:
+    seeds = items.select("key", "iw", F.explode(_positions(F.col("iw"), masks)).alias("k"))
+    seeds = seeds.select("key", "iw", "k", F.posexplode(_hashes(F.col("iw"), F.col("k"), masks)).alias("mask", "hash"))
+    seeds = seeds.where((F.col("mask") < len(MASKS)) | F.size("iw").isin(*SHORT)).drop("iw")
+    places = rows.select("doc_id", "_th", "w", F.explode(_positions(F.col("w"), masks)).alias("i"))
+    places = places.select("doc_id", "_th", "w", "i", F.explode(_hashes(F.col("w"), F.col("i"), masks)).alias("hash"))
     hits = places.join(F.broadcast(seeds), "hash").join(F.broadcast(items), "key")
 
     # A mask that also fits one word earlier has already shown this place.
-    masks = F.array(*[F.array(*[F.lit(o) for o in mask]) for mask in MASKS])
+    offsets = F.array(*[F.array(*[F.lit(o) for o in mask]) for mask in masks])
     before = F.forall(
-        F.get(masks, F.col("mask")),
+        F.get(offsets, F.col("mask")),
         lambda o: F.get("w", F.col("i") - 1 + o) == F.get("iw", F.col("k") - 1 + o),
     )
     hits = hits.where((F.col("i") == 0) | (F.col("k") == 0) | ~F.coalesce(before, F.lit(False)))

@@ -1,4 +1,5 @@
 import re
+from itertools import combinations
 
 import pytest
 from cases import made, prose
@@ -115,3 +116,17 @@ def test_query(spark, small):
     whole = {(i, item) for i, t in texts.items() for item, body in items if f" {' '.join(terms(body))} " in t}
     got = {(r.doc_id, r.item_id) for r in queries.decontamination(spark, small).collect()}
     assert whole and whole <= got
+
+
+@pytest.mark.parametrize("lengths", [range(5, 16), range(16, 20)])
+def test_every_way_to_replace_a_fifth_of_an_item(spark, lengths):
+    items, docs = [], []
+    for n in lengths:
+        words = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for gone in combinations(range(n), n - -(-4 * n // 5)):
+            text = [f"x{n}y{k}" if k in gone else w for k, w in enumerate(words)]
+            docs.append((len(docs) * 100 + n, " ".join(["before", *text, "after"])))
+    found = decontam.overlaps(made(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    have = {(r.doc_id, r.item_id): r.start for r in found.collect()}
+    assert have == {(i, i % 100): 1 for i, _ in docs}
