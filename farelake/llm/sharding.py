@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import without
+from .common import stored, without
 
 OVERHEAD = 16
 OFFSETS_BROADCAST = 100_000
@@ -49,10 +49,11 @@ def shuffle_into_shards(
     be larger), at least ``least_buckets`` to a shard.
 
     Null ids are one id like any other. Null texts count as empty. Equal texts spread by their ids. Rows with equal id
-    and text are records of their own; they share a shard and a bucket, in either order. Input columns named like one
+    and text are records of their own, which share a shard and not a bucket; where there are such rows, all are
+    numbered and stored first, and the order within a shard depends on the partitioning that numbers them. Input columns named like one
     of the result's are replaced. An empty table gives no rows.
 
-    The order is a function of the rows and the seed: a task that runs again gives the same records again.
+    Otherwise the order is a function of the rows and the seed: a task that runs again gives the same records again.
     """
     spread = F.xxhash64(F.lit(seed + 1), "doc_id", "text")
     shard, grown = shards_of(F.col("doc_id"), shards, seed)
@@ -64,9 +65,15 @@ def shuffle_into_shards(
         grown.alias("grown_shard"),
         spread.alias("_spread"),
     )
-    heaviest = rows.groupBy("shard").agg(F.sum("size").alias("bytes")).agg(F.max("bytes")).first()[0] or 0
-    buckets = max(least_buckets, -(-heaviest // bucket_bytes))
-    rows = rows.withColumn("_bucket", F.pmod("_spread", F.lit(buckets)).cast("int"))
+    if not rows.groupBy("doc_id", "_spread").count().where("count > 1").isEmpty():
+        # Stored, so that both passes see the same numbers.
+        number = F.xxhash64("_spread", F.monotonically_increasing_id())
+        rows = stored(rows.withColumn("_spread", number), "numbered")
+    weights = rows.groupBy("shard").agg(F.sum("size").alias("bytes"))
+    heavy = dict(weights.collect())  # a number for each shard
+    buckets = [max(least_buckets, -(-heavy.get(k, 0) // bucket_bytes)) for k in range(shards)]
+    of = F.get(F.array(*[F.lit(n).cast("long") for n in buckets]), F.col("shard"))
+    rows = rows.withColumn("_bucket", F.pmod("_spread", of).cast("int"))
 
     by_shard = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -74,12 +81,12 @@ def shuffle_into_shards(
         .count()
         .select("shard", "_bucket", F.coalesce(F.sum("count").over(by_shard), F.lit(0)).alias("_start"))
     )
-    dealt = rows.repartition(max(1, shards * buckets), "shard", "_bucket").sortWithinPartitions(
+    dealt = rows.repartition(sum(buckets), "shard", "_bucket").sortWithinPartitions(
         "shard", "_bucket", "doc_id", "_spread"
     )
     schema = StructType([*dealt.schema.fields, StructField("_place", LongType())])
     placed = dealt.mapInArrow(_shuffle_buckets(seed), schema)
-    if shards * buckets <= OFFSETS_BROADCAST:  # a row of three numbers for each bucket
+    if sum(buckets) <= OFFSETS_BROADCAST:  # a row of three numbers for each bucket
         starts = F.broadcast(starts)
     return (
         placed.join(starts, ["shard", "_bucket"])

@@ -71,3 +71,17 @@ def test_query(spark, small, whole):
         for r in docs.select("doc_id", (F.octet_length("text") + 16).alias("n"), F.expr("crc32(text)").alias("c")).collect()
     }
     assert {r.doc_id: (r["size"], r.text_crc32) for r in whole} == want
+
+
+def test_a_row_that_repeats_goes_to_many_tasks(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 10).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text"),
+    )
+    out = shuffle_into_shards(rows, shards=4, bucket_bytes=2000)
+    found = out.withColumn("task", F.spark_partition_id()).collect()
+    check(found, 4)
+    hot = [r for r in found if r.doc_id == 7]
+    assert len(hot) == 1000 and len({r.shard for r in hot}) == 1 and len({r.task for r in hot}) > 5
+    # Buckets follow each shard's own weight.
+    assert len({r.task for r in found if r.shard != hot[0].shard}) < 3 * len({r.task for r in hot})
