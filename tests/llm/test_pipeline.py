@@ -30,4 +30,4 @@ def test_registered():
     registry = importlib.import_module("__spark_entry__")
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     names = [n for n in registry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
