@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from farelake.functions.keys import epoch_millis, trip_key
+from farelake.functions.keys import trip_key
 from farelake.schemas import TRIP_V1, TRIP_V2, avro_schema
 from farelake.sinks.batches import append_once
 from farelake.sources.envelope import add_header
@@ -90,15 +90,6 @@ def land_text(
     return triggered(writer.format("text").option("checkpointLocation", checkpoint), interval).start(path)
 
 
-def message_fields(trips: DataFrame) -> DataFrame:
-    """Message key and the twenty trip fields, timestamps as epoch milliseconds."""
-    stamps = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
-    fields = [
-        epoch_millis(f.name).alias(f.name) if f.name in stamps else F.col(f.name) for f in TRIP_V2
-    ]
-    return trips.select(trip_key().alias("key"), *fields)
-
-
 def old_message_fields(trips: DataFrame) -> DataFrame:
     """The trip fields of message version 1: timestamps as text, whole numbers, single-precision money."""
 
