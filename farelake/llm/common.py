@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -50,15 +51,29 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+_LOCK = threading.Lock()
+#: By session, how many actions have the setting on, and what it was before the first of them.
+_CLEANING: dict[int, tuple[int, str]] = {}
+
+
 @contextmanager
 def _files_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of an action go when it ends; its result has been written by then."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    """Shuffle files of an action go when it ends; its result has been written by then. Actions of several threads may
+    overlap: the last one brings the session's own setting back."""
+    with _LOCK:
+        running, before = _CLEANING.get(id(spark), (0, ""))
+        before = before if running else spark.conf.get(_CLEANUP, "false")
+        _CLEANING[id(spark)] = running + 1, before
+        spark.conf.set(_CLEANUP, "true")
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        with _LOCK:
+            running, before = _CLEANING.pop(id(spark))
+            if running > 1:
+                _CLEANING[id(spark)] = running - 1, before
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -92,26 +107,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     with _files_go(spark):
         df.write.option("compression", "zstd").parquet(path)
-    _MADE.append(path)
+    _MADE.paths.append(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
     return table
 
 
-_MADE: list[str] = []
+class _Made(threading.local):
+    """Tables that this thread has stored and that a block may delete."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_MADE = _Made()
 
 
 @contextmanager
 def steps(spark: SparkSession) -> Iterator[list[DataFrame]]:
-    """Tables stored inside of the block go at its end, but for those from ``stored`` that the block puts into the
-    list."""
+    """Tables that this thread stores inside of the block go at its end, but for those from ``stored`` that the block
+    puts into the list; all go if the block fails."""
     kept: list[DataFrame] = []
-    start = len(_MADE)
-    yield kept
-    stay = [table._stored_at for table in kept]
-    for path in set(_MADE[start:]) - set(stay):
-        _remove(spark, path)
-    _MADE[start:] = stay
+    outer, _MADE.paths = _MADE.paths, []
+    stay: list[str] = []
+    try:
+        yield kept
+        stay = [table._stored_at for table in kept]
+    finally:
+        for path in set(_MADE.paths) - set(stay):
+            _remove(spark, path)
+        _MADE.paths = outer + stay
 
 
 def sampled(labels: DataFrame, rows: int) -> DataFrame:
