@@ -1,4 +1,6 @@
-from farelake.llm.licenses import KNOWN, known_digests, scan_licenses
+import textwrap
+
+from farelake.llm.licenses import KNOWN, TITLES, known_digests, scan_licenses
 
 
 def test_variants_of_a_text(spark):
@@ -39,3 +41,19 @@ def test_empty(spark, empty):
     assert scan_licenses(empty, known_digests(spark)).count() == 0
     docs = spark.createDataFrame([(1, "anything")], "doc_id long, text string")
     assert scan_licenses(docs, known_digests(spark, [])).count() == 0
+
+
+def test_whole_texts_under_titles_and_with_other_marks(spark):
+    texts = {name: text for name, text in reversed(KNOWN) if "\n" in text}
+    assert set(texts) >= {"MIT", "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "BSL-1.0", "Unlicense"}
+    rows = []
+    for name, text in texts.items():
+        title = f"# {TITLES[name]}\n\n" if name in TITLES else ""
+        starred = text.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+        wrapped = textwrap.fill(text.replace("\n", " "), 60)
+        for variant in (text, title + "Copyright (c) 2024, Some One\nAll rights reserved.\n\n" + wrapped, starred):
+            rows.append((len(rows), name, variant))
+        rows.append((len(rows), None, text.rsplit(" ", 1)[0]))
+    docs = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    found = scan_licenses(docs, known_digests(spark)).where("unit = 'text'")
+    assert {r.doc_id: r.license for r in found.collect()} == {i: name for i, name, _ in rows if name}
