@@ -21,7 +21,7 @@ END = 1
 #: Dimensions and bits of the space that the curve fills.
 DIMENSIONS, BITS = 3, 10
 #: Words of letters that a worker remembers, some 20 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Tokens to a partition: small inputs take fewer partitions, large ones larger partitions.
 FEW_TOKENS, MANY_TOKENS = 4_000_000, 32_000_000
 
@@ -249,7 +249,7 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _bounded(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _bounded(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut to so many rows and, where it takes more than one row, bytes of text."""
     for batch in slices(batches, rows):
         while batch.num_rows > 1 and batch.column("text").nbytes > size:
