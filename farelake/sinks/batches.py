@@ -29,6 +29,12 @@ def _delete(spark: SparkSession, pattern: str) -> None:
         fs.delete(found.getPath(), False)
 
 
+def _refuse_file_sink(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        raise ValueError(f"readers of {path} see only what Spark's file sink has logged there: choose another folder")
+
+
 def append_once(
     path: str,
     checkpoint: str,
@@ -40,7 +46,8 @@ def append_once(
 
     Files carry the stream (its checkpoint folder) and the batch in their names. A batch that runs again after a failure
     first deletes the files that its earlier attempt left, so nothing is there twice. Only the first batch after a start
-    can be such a one, so only then are the folders searched. Streams with other checkpoints don't meet.
+    can be such a one, so only then are the folders searched. Streams with other checkpoints don't meet. A folder that
+    Spark's own file sink has written to is refused, as readers would not see what is added.
     """
     stream = sha256(checkpoint.rstrip("/").encode()).hexdigest()[:8]
     started = False
@@ -49,6 +56,7 @@ def append_once(
         nonlocal started
         spark, name = batch.sparkSession, f"stream-{stream}-{batch_id:09d}"
         if not started:
+            _refuse_file_sink(spark, path)
             _delete(spark, "/".join([path.rstrip("/"), *["*"] * len(partition_by), f"{name}-*"]))
         rows = prepare(batch) if prepare else batch
         writer = rows.write.mode("append").option("mapreduce.output.basename", name)

@@ -355,3 +355,12 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     source = replay_trips(zoned_session(spark, "UTC"), str(tmp_path / "in"), latest_first=False)
     land_partitioned(source, str(out), str(tmp_path / "cp2"), None, unordered=True).awaitTermination()
     assert read_landed_trips(spark, str(out)).count() == 100
+
+
+def test_a_folder_of_the_file_sink_is_refused(spark, tmp_path):
+    write_files(spark, tmp_path / "in", [[at(0)]])
+    append_stream(replay_trips(spark, str(tmp_path / "in")), str(tmp_path / "cp1"), str(tmp_path / "out")).awaitTermination()
+    source = replay_trips(spark, str(tmp_path / "in"))
+    query = land_partitioned(source, str(tmp_path / "out"), str(tmp_path / "cp2"), None)
+    with pytest.raises(Exception, match="choose another folder"):
+        query.awaitTermination()
