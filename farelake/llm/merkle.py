@@ -44,14 +44,16 @@ def proof(path: Column) -> Column:
 
 def _runs(nodes: DataFrame, carry: Sequence[str]) -> DataFrame:
     """(``tree``, ``idx`` of the first, ``n``, ``s0`` ...): each run of ``FAN`` nodes as one row. A node at slot d of its
-    run is joined by the place of the run's first node, which lies d before it."""
+    run finds the place of the run's first node, which lies d before it. Those behind a first node join it as one row: a
+    join for each slot would take the driver eight shuffles a level to plan and follow."""
     slot = F.pmod("idx", F.lit(FAN))
     node = F.struct("h", *carry)
-    out = nodes.where(slot == 0).select("tree", "idx", "n", node.alias("s0"))
-    for d in range(1, FAN):
-        sibling = nodes.where(slot == d).select("tree", (F.col("idx") - d).alias("idx"), node.alias(f"s{d}"))
-        out = out.join(shuffled(sibling), ["tree", "idx"], "left")
-    return out
+    first = nodes.where(slot == 0).select("tree", "idx", "n", node.alias("s0"))
+    behind = nodes.where(slot > 0).select(
+        "tree", (F.col("idx") - slot).alias("idx"), slot.alias("slot"), node.alias("node")
+    )
+    at = [F.first(F.when(F.col("slot") == d, F.col("node")), ignorenulls=True).alias(f"s{d}") for d in range(1, FAN)]
+    return first.join(shuffled(behind.groupBy("tree", "idx").agg(*at)), ["tree", "idx"], "left")
 
 
 def _all_of(slots: Sequence[int]) -> Column:

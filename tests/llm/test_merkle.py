@@ -91,3 +91,17 @@ def test_digest_of_a_proof(spark):
     df = spark.createDataFrame([(path,)], f"p {merkle._PATH}")
     row = df.select(merkle.proof(df["p"]), merkle.fold(F.lit("x"), df["p"])).first()
     assert tuple(row) == (sha("abc"), sha("c" + sha(sha("axb"))))
+
+
+def test_a_level_takes_one_join(spark):
+    nodes = [(t, i, n, f"{t} {i}", {"k": i} if i % 2 else None) for t, n in ((0, 20), (20, 8), (28, 9)) for i in range(n)]
+    df = spark.createDataFrame(nodes, "tree long, idx long, n long, h string, o map<string, int>").repartition(3)
+    runs = merkle._runs(df, ["o"])
+    assert runs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    want = []
+    for t, n in ((0, 20), (20, 8), (28, 9)):
+        own = [(h, o) for tree, _, _, h, o in nodes if tree == t]
+        want += [(t, i, n, *own[i : i + 8], *[None] * (i + 8 - n)) for i in range(0, n, 8)]
+    rows = runs.select("tree", "idx", "n", *[f"s{d}" for d in range(8)]).collect()
+    got = [(*r[:3], *[s and tuple(s) for s in r[3:]]) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
