@@ -1,3 +1,4 @@
+import random
 import re
 from itertools import combinations
 
@@ -130,3 +131,40 @@ def test_every_way_to_replace_a_fifth_of_an_item(spark, lengths):
     found = decontam.overlaps(made(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
     have = {(r.doc_id, r.item_id): r.start for r in found.collect()}
     assert have == {(i, i % 100): 1 for i, _ in docs}
+
+
+def test_pieces_change_nothing(spark, items, monkeypatch):
+    whole = found(spark, items, cases())
+    monkeypatch.setattr(decontam, "PIECE", 7)
+    assert found(spark, items, cases()) == whole
+
+
+def test_long_items_far_from_their_first_hit(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "PIECE", 30)
+    r = random.Random(3)
+    bodies = [[f"i{n}w{k}" for k in range(150)] for n in range(3)]
+    rows = []
+    for i in range(60):
+        body = bodies[i % 3]
+        a = r.randrange(0, 110)
+        part = body[a : a + r.randrange(18, 150)]
+        text = [f"x{i}y{k}" if r.random() < 0.22 else w for k, w in enumerate(part)]
+        if i % 2:  # equal for long, then nearly, then equal again
+            text = part[:45] + text[45:]
+        rows.append((i, " ".join([*(["z"] * r.randrange(40)), *text, "after"])))
+    given = [(n, " ".join(b)) for n, b in enumerate(bodies)]
+    want = expected(rows, given)
+    got = found(spark, spark.createDataFrame(given, "item_id long, text string"), rows)
+    assert {k: pytest.approx(v) for k, v in want.items()} == got
+    assert {1.0} < set(got.values()) and 30 < len(got) < 60
+
+
+def test_a_long_text_full_of_items_needs_little_memory(spark, items):
+    """With the whole text beside each of its 144,000 hits, this takes a hundred gigabytes."""
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        got = found(spark, items.where("item_id = 1"), [(1, (ITEM + " ") * 2000)])
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+    assert got == {(1, 1): 1.0}
