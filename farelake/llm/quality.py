@@ -83,7 +83,8 @@ def _evidence(model: Classifier):
         x = np.array([features(t) for t in texts]).reshape(len(texts), len(FEATURES))
         return pd.Series(expanded(x) @ weights + model.bias)
 
-    return F.pandas_udf(evidence, "double")
+    # A filter on what follows from it would otherwise be carried below it, with an evaluation and workers of its own.
+    return F.pandas_udf(evidence, "double").asNondeterministic()
 
 
 def _features(texts: pd.Series) -> pd.Series:

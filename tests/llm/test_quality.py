@@ -87,3 +87,11 @@ def test_query(spark, small):
     graded = queries.quality_grades(spark, small).join(spark.read.parquet(f"{small}/labels.parquet"), "doc_id")
     row = graded.agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("double"))).first()
     assert row[0] > 0.95
+
+
+def test_a_filter_on_the_result_evaluates_texts_once(spark):
+    rows, labels = corpus(40)
+    graded = quality.grade(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    kept = graded.where("kept").select("doc_id", "text")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(r.doc_id for r in kept.collect()) == [r.doc_id for r in graded.orderBy("doc_id").collect() if r.kept]
